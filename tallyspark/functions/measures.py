@@ -16,14 +16,14 @@ from tallyspark.functions.rates import plain_ratio, rounded_ratio
 
 @dataclass(frozen=True)
 class Term:
-    kind: str                 # rows | sum | values | distinct
+    kind: str                 # rows | sum | values | distinct | labels
     value: str = "1"
     where: str | None = None
     zero: bool = False        # count rows outside ``where`` as 0 rather than NULL
 
     @property
     def additive(self) -> bool:
-        return self.kind != "distinct"
+        return self.kind not in ("distinct", "labels")
 
     def first(self) -> Column:
         """The aggregate over row-level input."""
@@ -38,6 +38,8 @@ class Term:
             return F.sum(value)
         if self.kind == "values":
             return F.count(value)
+        if self.kind == "labels":
+            return F.collect_set(value)
         return F.count_distinct(value)
 
     def again(self, partial: Column) -> Column:
@@ -69,6 +71,8 @@ class Measure:
                 out = rounded_ratio(top, bottom, self.places, self.scale)
         elif self.top.kind == "sum":
             out = top.cast("double")
+        elif self.top.kind == "labels":
+            out = F.array_join(F.sort_array(top), ",")
         else:
             out = top.cast("bigint")
         if self.empty is not None:
@@ -118,12 +122,11 @@ def distinct(name, value):
     return Measure(name, Term("distinct", value))
 
 
+def labels(name, value):
+    """The distinct values of a label column, sorted and joined; for small domains."""
+    return Measure(name, Term("labels", value))
+
+
 def per(name, top, bottom, scale=1, places=None, empty=None):
     """One single-term measure over another."""
     return Measure(name, top.top, bottom.top, scale, places, empty)
-
-
-USERS = distinct("users", "user_id")
-VOLUME = total("volume", "amount")
-REVENUE = total("revenue", "amount", OK)
-COUNT = rows("n")

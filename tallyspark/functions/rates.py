@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # 22 integer digits on top and 14 below leave 14 fractional digits in the quotient,
 # so rounding to a few places does not round twice.
-TOP = "decimal(26,4)"
+TOP = "decimal(30,8)"
 BOTTOM = "decimal(16,2)"
 
 

@@ -7,7 +7,7 @@ row per key instead of one per transaction and a user holding a third of all
 rows costs no more than any other.
 """
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,7 +40,7 @@ class Share:
 
 @dataclass(frozen=True)
 class Report:
-    keys: tuple = ()               # names, or (name, SQL expression) pairs
+    keys: tuple = ()               # names, or (name, SQL text or column builder) pairs
     measures: tuple = ()
     where: str | None = None
     order: tuple = ()              # "-x" is descending
@@ -54,7 +54,8 @@ class Report:
     hide_blank: bool = False       # drop groups whose measures are all NULL
 
 
-def run(report: Report, facts: DataFrame, dimensions=()) -> DataFrame:
+def run(report: Report, facts: DataFrame, dimensions=(), restrict=()) -> DataFrame:
+    """``dimensions`` lend attributes to the keys; ``restrict`` only keep matching rows."""
     keys = [k if isinstance(k, tuple) else (k, k) for k in report.keys]
     rows = facts.filter(report.where) if report.where else facts
     used, own, borrowed = _resolve(keys, rows, dimensions)
@@ -65,9 +66,10 @@ def run(report: Report, facts: DataFrame, dimensions=()) -> DataFrame:
             terms.append(item)
     names = {t: f"_t{i}" for i, t in enumerate(terms)}
 
-    rows = rows.withColumns({f"_k{i}": F.expr(sql) for i, (_, sql) in own})
+    rows = rows.withColumns({f"_k{i}": _column(sql) for i, (_, sql) in own})
     own_columns = [f"_k{i}" for i, _ in own]
-    if used:
+    if used or restrict:
+        used = used + [replace(d, how="left_semi") for d in restrict]
         grouped = _reduce_then_join(rows, used, own_columns, borrowed, terms, names)
     else:
         grouped = rows.groupBy(*own_columns).agg(*[t.first().alias(names[t]) for t in terms])
@@ -93,8 +95,12 @@ def _resolve(keys, rows, dimensions):
     return used, own, borrowed
 
 
+def _column(key) -> Column:
+    return F.expr(key) if isinstance(key, str) else key()
+
+
 def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
-    links = [d.key for d in used]
+    links = list(dict.fromkeys(d.key for d in used))
     counted = [t for t in terms if not t.additive]
     # A distinct count is not additive: keep its column until the last step.
     held = {t: t.value if t.value in links else f"_d{i}" for i, t in enumerate(counted)}
@@ -105,7 +111,9 @@ def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
         *[t.first().alias(names[t]) for t in additive], *marker
     )
     for d in used:
-        attributes = [sql for _, sql in borrowed if sql in d.table.columns]
+        attributes = [] if d.how == "left_semi" else [
+            sql for _, sql in borrowed if sql in d.table.columns
+        ]
         side = d.table.select(d.key, *dict.fromkeys(attributes))
         reduced = reduced.join(F.broadcast(side) if d.fixed_size else side, d.key, d.how)
     reduced = reduced.withColumnsRenamed({sql: f"_k{i}" for i, sql in borrowed})

@@ -147,14 +147,14 @@ def key_rules(t: DataFrame, u: DataFrame) -> DataFrame:
         return df.select(F.lit(name).alias("rule"), F.col(column).alias("n_violations"))
 
     required = [c for c in schemas.TRANSACTION_REQUIRED if c in t.columns]
-    out = _violations(t, {f"transactions.{c}": f"{c} IS NOT NULL" for c in required})
-    out = out.unionByName(_violations(u, {f"user_profiles.{c}": f"{c} IS NOT NULL"
+    out = _violations(t, {f"transaction_{c}_required": f"{c} IS NOT NULL" for c in required})
+    out = out.unionByName(_violations(u, {f"profile_{c}_required": f"{c} IS NOT NULL"
                                           for c in u.columns}))
-    out = out.unionByName(named("transactions.primary_key", duplicate_rows(t), "duplicate_rows"))
+    out = out.unionByName(named("transaction_primary_key", duplicate_rows(t), "duplicate_rows"))
     users = u.withColumnRenamed("user_id", "transaction_id")
-    out = out.unionByName(named("user_profiles.primary_key", duplicate_rows(users),
+    out = out.unionByName(named("profile_primary_key", duplicate_rows(users),
                                 "duplicate_rows"))
-    return out.unionByName(named("transactions.user_id_fk", orphan_count(t, u),
+    return out.unionByName(named("transaction_user_fk", orphan_count(t, u),
                                  "orphan_transactions"))
 
 

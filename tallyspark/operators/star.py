@@ -1,5 +1,7 @@
 """Star schema: one fact, five dimensions."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +50,8 @@ def dim_date(e: DataFrame) -> DataFrame:
 
 def dim_users(e: DataFrame, u: DataFrame) -> DataFrame:
     """One row per user who occurs, built at user grain rather than from enriched rows."""
-    return user_table(e, u).select(*schemas.DIM_USERS.fieldNames())
+    users = user_table(e, u)
+    return users.select(*[c for c in schemas.DIM_USERS.fieldNames() if c in users.columns])
 
 
 def fact_transactions(e: DataFrame) -> DataFrame:
@@ -56,17 +59,35 @@ def fact_transactions(e: DataFrame) -> DataFrame:
     return fact.select(*[c for c in schemas.FACT_COLUMNS if c in fact.columns])
 
 
-def build_star(e: DataFrame, u: DataFrame) -> dict:
-    """All six tables from row-featured transactions and profiles, lazily."""
+class Star(Mapping):
+    """The six tables by name; each plan is put together when it is first asked for."""
+
+    def __init__(self, builders: dict):
+        self._builders, self._tables = builders, {}
+
+    def __getitem__(self, name):
+        if name not in self._tables:
+            self._tables[name] = self._builders[name]()
+        return self._tables[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
+def build_star(e: DataFrame, u: DataFrame) -> Star:
+    """The star schema of row-featured transactions and profiles."""
     spark = e.sparkSession
-    return {
-        "fact_transactions": fact_transactions(e),
-        "dim_date": dim_date(e),
-        "dim_users": dim_users(e, u),
-        "dim_payment_method": dim_payment_method(spark),
-        "dim_category": dim_category(spark),
-        "dim_platform": dim_platform(spark),
-    }
+    return Star({
+        "fact_transactions": lambda: fact_transactions(e),
+        "dim_date": lambda: dim_date(e),
+        "dim_users": lambda: dim_users(e, u),
+        "dim_payment_method": lambda: dim_payment_method(spark),
+        "dim_category": lambda: dim_category(spark),
+        "dim_platform": lambda: dim_platform(spark),
+    })
 
 
 def relationship_check(star: dict) -> DataFrame:
