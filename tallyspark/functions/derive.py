@@ -4,6 +4,8 @@ Band tables are lists of (exclusive or inclusive upper bound, label).  Where the
 same idea is defined in more than one way, every definition is a named rule set.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -181,28 +183,6 @@ def day_type(is_weekend="is_weekend") -> Column:
     return F.when(F.col(is_weekend) == 1, F.lit("Weekend")).otherwise(F.lit("Weekday"))
 
 
-def calendar_columns(ts="transaction_datetime") -> dict:
-    """The time features of the enriched table, except the stored weekend flag."""
-    hour = F.hour(ts)
-    return {
-        "date": F.to_date(ts),
-        "year": F.year(ts),
-        "month": F.month(ts),
-        "month_name": F.date_format(ts, "MMM"),
-        "quarter": F.quarter(ts),
-        "quarter_label": F.concat(F.lit("Q"), F.quarter(ts)),
-        "day": F.day(ts),
-        "day_of_week": F.weekday(ts),
-        "day_name": day_name(ts),
-        "hour": hour,
-        "time_bucket": time_slot(hour, "pipeline"),
-        "week_number": F.weekofyear(ts),
-        "is_month_start": (F.day(ts) <= MONTH_START_TO).cast("int"),
-        "is_month_end": (F.day(ts) >= MONTH_END_FROM).cast("int"),
-        "is_festival_season": is_festival_season(ts),
-    }
-
-
 # ---------------------------------------------------------------------------
 # Status, users, refunds, risk
 # ---------------------------------------------------------------------------
@@ -287,16 +267,42 @@ def add_generated_columns(t: DataFrame) -> DataFrame:
     })
 
 
-def add_row_features(t: DataFrame) -> DataFrame:
-    """Every feature of the enriched table that needs only the transaction itself."""
-    return t.withColumns({
-        **calendar_columns(),
-        "amount_bucket": amount_bucket(),
-        "net_amount": net_amount(),
-        "total_savings": total_savings(),
-        "savings_pct": savings_pct(),
-        "processing_speed": processing_speed(),
-    })
+TS = "transaction_datetime"
+# Every feature of the enriched table that needs only the transaction itself.
+ROW_FEATURES = {
+    "date": lambda: F.to_date(TS),
+    "year": lambda: F.year(TS),
+    "month": lambda: F.month(TS),
+    "month_name": lambda: F.date_format(TS, "MMM"),
+    "quarter": lambda: F.quarter(TS),
+    "quarter_label": lambda: F.concat(F.lit("Q"), F.quarter(TS)),
+    "day": lambda: F.day(TS),
+    "day_of_week": lambda: F.weekday(TS),
+    "day_name": day_name,
+    "hour": lambda: F.hour(TS),
+    "time_bucket": lambda: time_slot(F.hour(TS), "pipeline"),
+    "week_number": lambda: F.weekofyear(TS),
+    "is_month_start": lambda: (F.day(TS) <= MONTH_START_TO).cast("int"),
+    "is_month_end": lambda: (F.day(TS) >= MONTH_END_FROM).cast("int"),
+    "is_festival_season": is_festival_season,
+    "amount_bucket": amount_bucket,
+    "net_amount": net_amount,
+    "total_savings": total_savings,
+    "savings_pct": savings_pct,
+    "processing_speed": processing_speed,
+}
+
+
+def add_row_features(t: DataFrame, names=None) -> DataFrame:
+    """All row features, or the named ones."""
+    return t.withColumns({n: ROW_FEATURES[n]() for n in (names or ROW_FEATURES)})
+
+
+def add_features_in(t: DataFrame, text: str) -> DataFrame:
+    """The row features that ``text`` mentions and ``t`` does not carry yet."""
+    words = set(re.findall(r"\w+", text)) - set(t.columns)
+    names = [n for n in ROW_FEATURES if n in words]
+    return add_row_features(t, names) if names else t
 
 
 def add_screening(t: DataFrame) -> DataFrame:

@@ -6,12 +6,17 @@ then per report key) and join dimensions in between on the already reduced rows.
 Conditions and values are SQL text over the columns of the row-level table.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyspark.functions.rates import plain_ratio, rounded_ratio
+from tallyspark.functions.rates import (
+    MONEY, money_sum_sql, plain_ratio_sql, rounded_ratio_sql,
+)
+
+
+AGGREGATES = {"sum": "sum", "values": "count", "labels": "collect_set"}
 
 
 @dataclass(frozen=True)
@@ -25,27 +30,27 @@ class Term:
     def additive(self) -> bool:
         return self.kind not in ("distinct", "labels")
 
-    def first(self) -> Column:
+    def first_sql(self) -> str:
         """The aggregate over row-level input."""
+        value = self.value
         if self.kind == "rows":
-            return F.count_if(F.expr(self.where)) if self.where else F.count(F.lit(1))
-        value = F.expr(self.value)
+            return f"count_if({self.where})" if self.where else "count(1)"
+        if self.kind == "sum" and value in MONEY:
+            return money_sum_sql(value, self.where, self.zero)
         if self.where:
-            value = F.when(F.expr(self.where), value)
-            if self.zero:
-                value = value.otherwise(F.lit(0))
-        if self.kind == "sum":
-            return F.sum(value)
-        if self.kind == "values":
-            return F.count(value)
-        if self.kind == "labels":
-            return F.collect_set(value)
-        return F.count_distinct(value)
-
-    def again(self, partial: Column) -> Column:
+            value = f"CASE WHEN {self.where} THEN {value}{' ELSE 0' if self.zero else ''} END"
+        if self.kind == "distinct":
+            return f"count(DISTINCT {value})"
+        return f"{AGGREGATES[self.kind]}({value})"
+
+    def first(self) -> Column:
+        return F.expr(self.first_sql())
+
+    def again(self, partial: str) -> Column:
         """The aggregate that merges values of :meth:`first`."""
-        merged = F.sum(partial)
-        return F.coalesce(merged, F.lit(0)).cast("bigint") if self.kind in ("rows", "values") else merged
+        if self.kind in ("rows", "values"):
+            return F.expr(f"cast(coalesce(sum({partial}), 0) AS bigint)")
+        return F.expr(f"sum({partial})")
 
 
 @dataclass(frozen=True)
@@ -57,33 +62,35 @@ class Measure:
     places: int | None = None
     empty: float | None = None     # what an empty denominator or sum becomes
     blank_zero: bool = False       # a count of 0 is shown as NULL (semantic-layer blank)
+    exact: bool = False            # keep a sum as DECIMAL, for figures computed from it
 
     def terms(self):
         return (self.top,) if self.bottom is None else (self.top, self.bottom)
 
-    def finish(self, column_of) -> Column:
+    def finish_sql(self, column_of) -> str:
+        """The figure from the columns that hold its terms."""
         top = column_of(self.top)
         if self.bottom is not None:
             bottom = column_of(self.bottom)
             if self.places is None:
-                out = plain_ratio(top, bottom, self.scale)
+                out = plain_ratio_sql(top, bottom, self.scale)
             else:
-                out = rounded_ratio(top, bottom, self.places, self.scale)
+                out = rounded_ratio_sql(top, bottom, self.places, self.scale)
         elif self.top.kind == "sum":
-            out = top.cast("double")
+            out = top if self.exact else f"cast({top} AS double)"
         elif self.top.kind == "labels":
-            out = F.array_join(F.sort_array(top), ",")
+            out = f"array_join(sort_array({top}), ',')"
         else:
-            out = top.cast("bigint")
+            out = f"cast({top} AS bigint)"
         if self.empty is not None:
-            out = F.coalesce(out, F.lit(self.empty))
-        if self.blank_zero:
-            out = F.nullif(out, F.lit(0))
-        return out.alias(self.name)
+            out = f"coalesce({out}, {self.empty}D)"
+        return f"nullif({out}, 0)" if self.blank_zero else out
+
+    def finish(self, column_of) -> Column:
+        return F.expr(self.finish_sql(column_of)).alias(self.name)
 
     def named(self, name: str) -> "Measure":
-        return Measure(name, self.top, self.bottom, self.scale, self.places,
-                       self.empty, self.blank_zero)
+        return replace(self, name=name)
 
 
 # ---------------------------------------------------------------------------
@@ -103,9 +110,15 @@ def rows(name, where=None, blank_zero=False):
     return Measure(name, Term("rows", where=where), blank_zero=blank_zero)
 
 
-def total(name, value, where=None, zero=True, empty=None):
+def count_of(name, value):
+    """Rows in which ``value`` is not NULL."""
+    return Measure(name, Term("values", value))
+
+
+def total(name, value, where=None, zero=True, empty=None, exact=False):
     """Sum of ``value``; rows outside ``where`` add 0 (``zero``) or nothing."""
-    return Measure(name, Term("sum", value, where, zero and where is not None), empty=empty)
+    return Measure(name, Term("sum", value, where, zero and where is not None), empty=empty,
+                   exact=exact)
 
 
 def mean(name, value, where=None, places=None, empty=None):

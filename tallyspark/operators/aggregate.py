@@ -9,11 +9,11 @@ rows costs no more than any other.
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.measures import Term
-from tallyspark.functions.rates import plain_ratio, rounded_ratio
+from tallyspark.functions.rates import plain_ratio_sql, rounded_ratio_sql
 from tallyspark.operators.levels import level_rank, reindex
 
 
@@ -95,6 +95,16 @@ def _resolve(keys, rows, dimensions):
     return used, own, borrowed
 
 
+def mentions(report: Report) -> str:
+    """All SQL text of a report, for finding the derived columns it uses."""
+    texts = [report.where or ""]
+    for key in report.keys:
+        name, sql = key if isinstance(key, tuple) else (key, key)
+        texts.append(sql if isinstance(sql, str) else "")
+    terms = [t for m in report.measures for t in m.terms()] + [s.of for s in report.shares]
+    return " ".join(texts + [f"{t.value} {t.where or ''}" for t in terms])
+
+
 def _column(key) -> Column:
     return F.expr(key) if isinstance(key, str) else key()
 
@@ -120,26 +130,24 @@ def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
     outputs = []
     for t in terms:
         if t.additive:
-            outputs.append(t.again(F.col(names[t])).alias(names[t]))
+            outputs.append(t.again(names[t]).alias(names[t]))
         else:
             outputs.append(F.count_distinct(held[t]).alias(names[t]))
     return reduced.groupBy(*own_columns, *[f"_k{i}" for i, _ in borrowed]).agg(*outputs)
 
 
 def _present(report, grouped, keys, names):
-    def column_of(term: Term) -> Column:
-        return F.col(names[term])
+    def column_of(term: Term) -> str:
+        return names[term]
 
-    shown = [k for k in keys if k not in report.drop]
-    # The window runs over the finished groups: one row per label.
-    everything = Window.partitionBy()
     extra = []
     for s in report.shares:
         own = column_of(s.of)
-        whole = (F.sum if s.against == "sum" else F.max)(own).over(everything)
-        value = (plain_ratio(own, whole, s.scale) if s.places is None
-                 else rounded_ratio(own, whole, s.places, s.scale))
-        extra.append(value.alias(s.name))
+        # The window runs over the finished groups: one row per label.
+        whole = f"{s.against}({own}) OVER ()"
+        value = (plain_ratio_sql(own, whole, s.scale) if s.places is None
+                 else rounded_ratio_sql(own, whole, s.places, s.scale))
+        extra.append(F.expr(value).alias(s.name))
     out = grouped.select(*keys, *[m.finish(column_of) for m in report.measures], *extra)
     if report.hide_blank:
         out = out.dropna(how="all", subset=[m.name for m in report.measures])
@@ -152,7 +160,7 @@ def _present(report, grouped, keys, names):
         out = out.orderBy(*[_ordering(o, report.levels) for o in report.order])
     if report.limit is not None:
         out = out.limit(report.limit)
-    return out.drop(*report.drop) if len(shown) < len(keys) else out
+    return out.drop(*report.drop) if report.drop else out
 
 
 def _ordering(name, levels):

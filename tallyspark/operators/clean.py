@@ -18,6 +18,8 @@ NUMERIC = {"amount": "decimal(12,2)", "processing_time_sec": "decimal(5,2)",
            "cashback_earned": "decimal(10,2)", "discount_applied": "decimal(10,2)",
            "refund_amount": "decimal(12,2)"}
 REASONS = ["failure_reason", "fraud_reason"]
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+               "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 MISSING_REASON = "Unknown"
 NO_REASON = "None"
 
@@ -39,9 +41,12 @@ def _text_columns(df: DataFrame, wanted) -> list:
 
 
 def strip_text(t: DataFrame) -> DataFrame:
-    """Remove every kind of white space around the text columns."""
+    """Remove every kind of white space around the text columns.
+
+    A character-set trim looks at the ends only, where a pattern would scan the text.
+    """
     return t.withColumns({
-        c: F.regexp_replace(c, r"^\s+|\s+$", "") for c in _text_columns(t, PIPELINE_STRIP)
+        c: F.btrim(c, F.lit(WHITE_SPACE)) for c in _text_columns(t, PIPELINE_STRIP)
     })
 
 

@@ -8,15 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.measures import OK
+from tallyspark.functions.rates import money_sum_sql
 
 FIGURES = ["revenue", "transactions"]
 
 
 def _figures():
-    return [
-        F.sum(F.when(F.expr(OK), F.col("amount"))).alias("revenue"),
-        F.count(F.lit(1)).alias("transactions"),
-    ]
+    return [F.expr(money_sum_sql("amount", OK)).alias("revenue"),
+            F.count(F.lit(1)).alias("transactions")]
 
 
 def daily(t: DataFrame, keys=()) -> DataFrame:

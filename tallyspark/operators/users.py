@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.derive import add_row_features, user_segment, user_spending_tier
-from tallyspark.functions.measures import BAD, OK, distinct, mean, rate, rows, total
+from tallyspark.functions.measures import BAD, OK, count_of, distinct, mean, rate, rows, total
 from tallyspark.operators.aggregate import Report, run
 from tallyspark.operators.clean import strip_text
 from tallyspark.operators.joins import profile_columns
@@ -13,23 +13,15 @@ from tallyspark.schemas import ENRICHED_COLUMNS, SEGMENTS
 
 def user_behaviour(t: DataFrame) -> DataFrame:
     """One row per user: count, Success spend, mean Success amount, failure rate, tier."""
-    ok_amount = F.when(F.expr(OK), F.col("amount"))
-    spend, paid = F.sum(ok_amount), F.count(ok_amount)
-    mean_ok = mean("m", "amount", OK, places=2, empty=0.0)
-    failing = rate("r", BAD, places=2)
-    grouped = t.groupBy("user_id").agg(
-        F.count("transaction_id").alias("user_total_txns"),
-        F.coalesce(spend, F.lit(0)).cast("decimal(22,2)").alias("user_total_spend"),
-        spend.alias("_spend"), paid.alias("_paid"),
-        failing.top.first().alias("_bad"), failing.bottom.first().alias("_n"),
-    )
-    parts = {mean_ok.top: "_spend", mean_ok.bottom: "_paid",
-             failing.top: "_bad", failing.bottom: "_n"}
-    return grouped.select(
-        "user_id", "user_total_txns", "user_total_spend",
-        mean_ok.finish(lambda t: F.col(parts[t])).alias("user_avg_txn_amount"),
-        failing.finish(lambda t: F.col(parts[t])).alias("user_failure_rate_pct"),
-        user_spending_tier("user_total_spend").alias("user_spending_tier"),
+    per_user = run(Report(keys=("user_id",), measures=(
+        count_of("user_total_txns", "transaction_id"),
+        total("user_total_spend", "amount", OK, exact=True),
+        mean("user_avg_txn_amount", "amount", OK, places=2, empty=0.0),
+        rate("user_failure_rate_pct", BAD, places=2),
+    )), t)
+    spend = F.coalesce("user_total_spend", F.lit(0)).cast("decimal(22,2)")
+    return per_user.withColumn("user_total_spend", spend).withColumn(
+        "user_spending_tier", user_spending_tier("user_total_spend")
     )
 
 
@@ -69,11 +61,9 @@ def user_activity(t: DataFrame) -> DataFrame:
 
 def segments(t: DataFrame, places=True) -> DataFrame:
     """Users grouped by how often they pay; ``places`` rounds as the SQL layer does."""
-    per_user = t.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("txn_count"),
-        F.sum(F.when(F.expr(OK), F.col("amount")).otherwise(F.lit(0))).alias("total_spent"),
-        F.count_if(F.expr(BAD)).alias("failed"),
-    ).withColumns({
+    per_user = run(Report(keys=("user_id",), measures=(
+        rows("txn_count"), total("total_spent", "amount", OK, exact=True), rows("failed", BAD),
+    )), t).withColumns({
         "segment": user_segment("txn_count"),
         "failure_rate": (F.col("failed").cast("decimal(14,0)") * 100
                          / F.col("txn_count").cast("decimal(14,0)")).cast("decimal(12,6)"),
@@ -97,13 +87,11 @@ def top_spenders(t: DataFrame, u: DataFrame, n=20) -> DataFrame:
     The two distinct counts run over (user, method, category) combinations, which a
     map-side aggregate has already collapsed; the profile join runs at user grain.
     """
-    combos = t.groupBy("user_id", "payment_method", "category").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.when(F.expr(OK), F.col("amount")).otherwise(F.lit(0))).alias("spent"),
-        F.sum("amount").alias("volume"),
-        F.count("amount").alias("n_amount"),
-        F.sum("cashback_earned").alias("cashback"),
-    )
+    value = mean("avg_txn_value", "amount", places=2)
+    combos = run(Report(keys=("user_id", "payment_method", "category"), measures=(
+        rows("n"), total("spent", "amount", OK, exact=True), total("volume", "amount", exact=True),
+        count_of("n_amount", "amount"), total("cashback", "cashback_earned", exact=True),
+    )), t)
     per_user = combos.groupBy("user_id").agg(
         F.sum("n").alias("total_txn"),
         F.sum("spent").cast("double").alias("total_spent"),
@@ -113,14 +101,13 @@ def top_spenders(t: DataFrame, u: DataFrame, n=20) -> DataFrame:
         F.count_distinct("category").alias("categories_used"),
         F.sum("cashback").cast("double").alias("total_cashback"),
     )
-    value = mean("avg_txn_value", "amount", places=2)
     parts = {value.top: "volume", value.bottom: "n_amount"}
     profile = u.select("user_id", "age_group", "customer_tier", "spending_persona")
     return (
         per_user.join(profile, "user_id")
         .select(
             "user_id", "age_group", "customer_tier", "spending_persona", "total_txn",
-            "total_spent", value.finish(lambda t: F.col(parts[t])), "methods_used",
+            "total_spent", value.finish(parts.get), "methods_used",
             "categories_used", "total_cashback",
         )
         .orderBy(F.desc("total_spent"), "user_id")

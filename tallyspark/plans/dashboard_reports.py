@@ -8,8 +8,8 @@ from tallyspark.functions import derive
 from tallyspark.functions.measures import (
     BAD, FLAGGED, OK, REFUNDED, distinct, mean, per, rate, rows, total,
 )
-from tallyspark.operators.aggregate import Report, run
-from tallyspark.plans.eda_reports import HEATMAP, users_of
+from tallyspark.operators.aggregate import Report
+from tallyspark.plans.eda_reports import HEATMAP, run_over, users_of
 
 COUNT = rows("count")
 SUCCESS = rate("sr", OK)
@@ -115,14 +115,14 @@ PROFILE_REPORTS = {
 
 def report(name: str, rows_: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
     if name in PROFILE_REPORTS:
-        return run(PROFILE_REPORTS[name], rows_, [users_of(profiles)])
-    return run(REPORTS[name], rows_)
+        return run_over(PROFILE_REPORTS[name], rows_, [users_of(profiles)])
+    return run_over(REPORTS[name], rows_)
 
 
 def festival_periods(rows_: DataFrame) -> DataFrame:
     """Years in which both festival months occur, with the labels of their ends."""
     first, last = derive.FESTIVAL_MONTHS
-    seen = rows_.groupBy("year").agg(
+    seen = derive.add_features_in(rows_, "year month").groupBy("year").agg(
         F.max((F.col("month") == first).cast("int")).alias("_first"),
         F.max((F.col("month") == last).cast("int")).alias("_last"),
     )
@@ -136,7 +136,7 @@ def failure_crosstab(rows_: DataFrame, reasons) -> DataFrame:
     """Method by failure reason, one column per listed reason, 0 where none."""
     quoted = {r: r.replace("'", "\\'") for r in reasons}
     counts = tuple(rows(r, f"failure_reason = '{q}'") for r, q in quoted.items())
-    return run(_report("payment_method", measures=counts,
+    return run_over(_report("payment_method", measures=counts,
                        where=f"{BAD} AND failure_reason IS NOT NULL",
                        order=("payment_method",)), rows_)
 

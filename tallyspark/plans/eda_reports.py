@@ -8,7 +8,8 @@ from tallyspark.functions import derive
 from tallyspark.functions.measures import (
     BAD, FLAGGED, OK, PENDING, REFUNDED, distinct, mean, per, rate, rows, total,
 )
-from tallyspark.operators.aggregate import Dimension, Report, run
+from tallyspark.functions.rates import plain_ratio
+from tallyspark.operators.aggregate import Dimension, Report, mentions, run
 from tallyspark.operators.joins import profile_columns
 
 COUNT = rows("count")
@@ -85,15 +86,20 @@ def users_of(profiles: DataFrame) -> Dimension:
     return Dimension(profile_columns(profiles), "user_id", how="left")
 
 
+def run_over(report_: Report, rows_: DataFrame, dimensions=()) -> DataFrame:
+    """Run a report over enriched rows, or over stripped ones that lack a feature it uses."""
+    return run(report_, derive.add_features_in(rows_, mentions(report_)), dimensions)
+
+
 def report(name: str, rows_: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
     if name in PROFILE_REPORTS:
-        return run(PROFILE_REPORTS[name], rows_, [users_of(profiles)])
-    return run(REPORTS[name], rows_)
+        return run_over(PROFILE_REPORTS[name], rows_, [users_of(profiles)])
+    return run_over(REPORTS[name], rows_)
 
 
 def _first(rows_: DataFrame, key, where=None, figure=COUNT):
     """The key with the highest figure (ties: the first key) as a scalar subquery."""
-    top = run(Report((key,), (figure,), where=where, keep_null_keys=False,
+    top = run_over(Report((key,), (figure,), where=where, keep_null_keys=False,
                      order=(f"-{figure.name}", key), limit=1), rows_)
     return top.select(F.struct(F.col(key).alias("label"), F.col(figure.name).alias("value"))).scalar()
 
@@ -104,7 +110,7 @@ def findings(rows_: DataFrame, profiles: DataFrame) -> DataFrame:
     One pass gives every global figure; the leaders and the demographic figures are
     scalar subqueries over small aggregates.
     """
-    base = run(Report(measures=(
+    base = run_over(Report(measures=(
         rows("total_transactions"), distinct("users", "user_id"),
         rows("successful", OK), rate("success_pct", OK),
         rows("failed", BAD), rate("failed_pct", BAD),
@@ -125,8 +131,8 @@ def findings(rows_: DataFrame, profiles: DataFrame) -> DataFrame:
         rate("mobile_app_pct", "platform = 'Mobile App'"),
         rows("android", "device_type = 'Android'"), rows("ios", "device_type = 'iOS'"),
     )), rows_)
-    people = run(Report(("age_group", "customer_tier", "spending_persona"), (
-        rows("n"), total("volume", "amount"), rows("n_amount", "amount IS NOT NULL"),
+    people = run_over(Report(("age_group", "customer_tier", "spending_persona"), (
+        rows("n"), total("volume", "amount", exact=True), rows("n_amount", "amount IS NOT NULL"),
         distinct("users", "user_id"),
     )), rows_, [users_of(profiles)])
     spender = F.col("spending_persona") == "High Spender"
@@ -137,7 +143,7 @@ def findings(rows_: DataFrame, profiles: DataFrame) -> DataFrame:
     people = people.agg(F.struct(
         (F.coalesce(part(F.col("age_group") == "25-34", "n"), F.lit(0)).cast("double")
          / F.sum("n") * 100).alias("age_25_34_pct"),
-        F.try_divide(part(spender, "volume"), part(spender, "n_amount").cast("double"))
+        plain_ratio(part(spender, "volume"), part(spender, "n_amount"))
          .alias("high_spender_avg"),
         F.coalesce(part(F.col("customer_tier") == "VIP", "users"), F.lit(0)).alias("vip_users"),
     )).scalar()

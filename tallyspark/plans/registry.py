@@ -49,9 +49,13 @@ class Inputs:
     def profiles(self) -> DataFrame:
         return orders_feed.user_profiles(self.spark, self.folder, self.city)
 
+    @property
+    def stripped(self) -> DataFrame:
+        return clean.strip_text(self.raw)
+
     @property
     def featured(self) -> DataFrame:
-        return derive.add_row_features(clean.strip_text(self.raw))
+        return derive.add_row_features(self.stripped)
 
     @property
     def enriched(self) -> DataFrame:
@@ -161,7 +165,7 @@ def _(i):
 @query("snk_3_findings_json")
 def _(i):
     path = i.folder_for("findings")
-    found = eda_reports.findings(i.featured, i.profiles)
+    found = eda_reports.findings(i.stripped, i.profiles)
     writers.write_findings(found, path)
     return i.spark.read.schema(found.schema).json(path)
 
@@ -279,7 +283,7 @@ _columns("drv_12_season_type", season_type=derive.season_type)
 _columns("drv_13_savings_tier", savings_tier=derive.savings_tier)
 query("drv_14_user_segment")(lambda i: users.user_activity(i.cleaned).select(
     "user_id", "txn_count", derive.user_segment().alias("user_segment")))
-query("drv_15_user_spending_tier")(lambda i: users.user_behaviour(i.featured).select(
+query("drv_15_user_spending_tier")(lambda i: users.user_behaviour(i.stripped).select(
     "user_id", "user_total_spend", "user_spending_tier"))
 _columns("drv_16_day_type", day_type=derive.day_type)
 _columns("drv_17_date_key", date_key=lambda: derive.date_key("transaction_datetime"),
@@ -296,7 +300,7 @@ _columns("drv_22_clipped_amount", clipped_amount=derive.clipped_amount)
 
 @query("drv_23_status_bands")
 def _(i):
-    rates = eda_reports.report("6b", i.featured)
+    rates = eda_reports.report("6b", i.stripped)
     return rates.withColumns({
         rule: derive.status_band(F.lit(100.0) - F.col("failure_rate")
                                  if "success" in rule else F.col("failure_rate"), rule)
@@ -341,15 +345,15 @@ def _dates(selection):
 
 
 query("flt_9_slicer")(lambda i: filters.apply_filters(
-    i.featured, **_dates(SELECTION)).select("transaction_id", "payment_method", "category"))
+    i.stripped, **_dates(SELECTION)).select("transaction_id", "payment_method", "category"))
 query("flt_9_slicer_inverted_dates")(lambda i: dashboard_reports.report("1", filters.apply_filters(
-    i.featured, **{**_dates(SELECTION), **_dates({"date_from": "1999-12-31",
+    i.stripped, **{**_dates(SELECTION), **_dates({"date_from": "1999-12-31",
                                                   "date_to": "1996-01-01"})})))
 query("flt_10_preset_all")(lambda i: dashboard_reports.report(
-    "1", filters.apply_filters(i.featured, **filters.preset("All"))))
-query("flt_11_option_lists", city=True)(lambda i: filters.option_lists(i.featured))
-query("flt_11_date_bounds")(lambda i: filters.date_bounds(i.featured))
-query("flt_12_coverage")(lambda i: filters.coverage(i.featured, **_dates(SELECTION)))
+    "1", filters.apply_filters(i.stripped, **filters.preset("All"))))
+query("flt_11_option_lists", city=True)(lambda i: filters.option_lists(i.stripped))
+query("flt_11_date_bounds")(lambda i: filters.date_bounds(i.stripped))
+query("flt_12_coverage")(lambda i: filters.coverage(i.stripped, **_dates(SELECTION)))
 query("flt_13_dimension_slicers")(lambda i: semantic.visual_query(
     i.star, ("payment_method",), ("total_transactions", "total_revenue", "unique_users"),
     filters={"dim_users.customer_tier": ["Premium", "VIP"], "dim_platform.channel": ["Mobile"],
@@ -372,13 +376,13 @@ query("jn_5_user_features_attached")(lambda i: users.enrich(i.raw, i.profiles).s
     "transaction_id", "user_total_txns", "user_total_spend", "user_avg_txn_amount",
     "user_failure_rate_pct", "user_spending_tier"))
 query("jn_6_tier_merge_filled")(lambda i: dashboard_reports.report(
-    "16", i.featured.filter("status != 'Success'"), i.profiles))
+    "16", i.stripped.filter("status != 'Success'"), i.profiles))
 query("jn_7_star_join")(lambda i: semantic.visual_query(
     i.star, ("dim_date.quarter_label", "dim_payment_method.payment_type",
              "dim_category.category_group", "dim_platform.channel", "dim_users.customer_tier"),
     ("total_transactions", "total_revenue"), limit=None))
 query("jn_8_period_self_join")(lambda i: timeintel.day_shift(
-    timeintel.daily(i.featured), 1, "pm"))
+    timeintel.daily(i.stripped), 1, "pm"))
 
 # ---------------------------------------------------------------------------
 # Data quality
@@ -418,7 +422,8 @@ query("dq_22_ranges")(lambda i: quality.ranges(i.raw))
 query("dq_23_flag_refund_promotion")(lambda i: quality.promotion_and_flag_profile(i.raw))
 query("dq_24_feature_distributions")(lambda i: quality.value_counts(
     i.enriched, ["time_bucket", "amount_bucket", "processing_speed", "user_spending_tier"]))
-query("dq_25_savings_summary")(lambda i: quality.savings_summary(i.featured))
+query("dq_25_savings_summary")(lambda i: quality.savings_summary(derive.add_row_features(
+    i.stripped, ["total_savings", "savings_pct"])))
 query("dq_26_status_distribution")(lambda i: quality.distribution(i.raw, "status"))
 query("dq_26_method_distribution")(lambda i: quality.distribution(i.raw, "payment_method"))
 query("dq_27_category_distribution")(lambda i: quality.distribution(i.raw, "category", False))
@@ -449,7 +454,7 @@ query("sql_v3_clean_transactions", city=True)(
 # ---------------------------------------------------------------------------
 _all("uf", {"1": "total_txns", "2": "total_spend", "3": "avg_txn_amount",
             "4": "failure_rate_pct", "5": "spending_tier"},
-     lambda i, n: users.user_behaviour(i.featured).select("user_id", {
+     lambda i, n: users.user_behaviour(i.stripped).select("user_id", {
          "1": "user_total_txns", "2": "user_total_spend", "3": "user_avg_txn_amount",
          "4": "user_failure_rate_pct", "5": "user_spending_tier"}[n]))
 query("uf_6_enriched_table", city=True)(lambda i: i.enriched)
@@ -464,10 +469,10 @@ _all("ed", {
     "12b": "devices", "13a": "fraud_reasons", "14a": "cashback", "14b": "discounts",
     "15a": "refunds_by_category", "15b": "refund_types", "16": "weekend",
     "17a": "processing_by_method", "17b": "speed_levels",
-}, lambda i, n: eda_reports.report(n, i.featured, i.profiles), city=("11",))
+}, lambda i, n: eda_reports.report(n, i.stripped, i.profiles), city=("11",))
 query("ed_13b_box_by_flag")(lambda i: quantiles.box_stats(
-    i.featured.withColumn("clipped", derive.clipped_amount()), "clipped", "is_flagged"))
-query("ed_18_findings")(lambda i: eda_reports.findings(i.featured, i.profiles))
+    i.stripped.withColumn("clipped", derive.clipped_amount()), "clipped", "is_flagged"))
+query("ed_18_findings")(lambda i: eda_reports.findings(i.stripped, i.profiles))
 
 # ---------------------------------------------------------------------------
 # Dashboard
@@ -480,14 +485,14 @@ _all("ap", {
     "19": "monthly_active_users", "20": "fraud_kpis", "21": "fraud_reasons",
     "23": "refund_kpis", "24": "refunds_by_category", "25": "refunds_by_method",
     "26": "platforms", "27": "devices", "29": "cashback", "30": "discounts",
-}, lambda i, n: dashboard_reports.report(n, i.featured, i.profiles), city=("5",))
-query("ap_2b_festival_periods")(lambda i: dashboard_reports.festival_periods(i.featured))
+}, lambda i, n: dashboard_reports.report(n, i.stripped, i.profiles), city=("5",))
+query("ap_2b_festival_periods")(lambda i: dashboard_reports.festival_periods(i.stripped))
 query("ap_14_method_reason_crosstab")(lambda i: dashboard_reports.failure_crosstab(
-    i.featured, orders_feed.FEED_REASONS))
+    i.stripped, orders_feed.FEED_REASONS))
 query("ap_22_box_with_mean")(lambda i: quantiles.box_stats(
-    i.featured.withColumn("clipped", derive.clipped_amount()), "clipped", "is_flagged",
+    i.stripped.withColumn("clipped", derive.clipped_amount()), "clipped", "is_flagged",
     with_mean=True))
-query("ap_28_android_ios")(lambda i: dashboard_reports.mobile_comparison(i.featured))
+query("ap_28_android_ios")(lambda i: dashboard_reports.mobile_comparison(i.stripped))
 
 # ---------------------------------------------------------------------------
 # Spreadsheet report
@@ -509,7 +514,7 @@ _all("st", {"1": "dim_date", "2": "dim_users", "6": "fact_transactions"},
 def _label_check(name, key, where):
     """A literal dimension with how many transactions use each of its rows."""
     query(f"st_{where}_{name}")(lambda i: i.star[name].join(
-        run(Report((key,), (rows("n_txn"),)), i.featured), key, "left"))
+        run(Report((key,), (rows("n_txn"),)), i.stripped), key, "left"))
 
 
 _label_check("dim_payment_method", "payment_method", "3")
@@ -539,22 +544,22 @@ for _name, _measures in _GROUPS.items():
     query(_name)(lambda i, m=_measures: semantic.measure_table(i.star, m, ["category"]))
 query("m_all_global")(lambda i: semantic.measure_table(i.star, list(semantic.MEASURES)))
 query("m_28_29_status_bands")(lambda i: semantic.status_bands(i.star, ["payment_method"]))
-query("m_30_period_label")(lambda i: timeintel.period_label(i.featured))
+query("m_30_period_label")(lambda i: timeintel.period_label(i.stripped))
 query("m_31_32_revenue_text")(lambda i: semantic.revenue_texts(i.star, ["payment_method"]))
 
 query("ti_1_4_month_over_month")(lambda i: timeintel.month_shift(
-    timeintel.monthly(i.featured), 1, "pm", "mom_pct"))
+    timeintel.monthly(i.stripped), 1, "pm", "mom_pct"))
 query("ti_1_4_month_over_month_by_method")(lambda i: timeintel.month_shift(
-    timeintel.monthly(i.featured, ["payment_method"]), 1, "pm", "mom_pct", ["payment_method"]))
+    timeintel.monthly(i.stripped, ["payment_method"]), 1, "pm", "mom_pct", ["payment_method"]))
 query("ti_5_8_year_over_year")(lambda i: timeintel.month_shift(
-    timeintel.monthly(i.featured), 12, "py", "yoy_pct"))
-query("ti_9_12_to_date_by_day")(lambda i: timeintel.to_date_totals(i.featured).select(
+    timeintel.monthly(i.stripped), 12, "py", "yoy_pct"))
+query("ti_9_12_to_date_by_day")(lambda i: timeintel.to_date_totals(i.stripped).select(
     "date", "revenue_ytd", "transactions_ytd", "revenue_qtd", "revenue_mtd"))
-query("ti_9_10_year_to_date_by_month")(lambda i: timeintel.month_to_date_totals(i.featured))
-query("ti_13_14_cumulative_by_day")(lambda i: timeintel.to_date_totals(i.featured).select(
+query("ti_9_10_year_to_date_by_month")(lambda i: timeintel.month_to_date_totals(i.stripped))
+query("ti_13_14_cumulative_by_day")(lambda i: timeintel.to_date_totals(i.stripped).select(
     "date", "cumulative_revenue", "cumulative_transactions"))
 query("ti_9_14_by_day_and_platform")(lambda i: timeintel.to_date_totals(
-    i.featured, ["platform"]))
+    i.stripped, ["platform"]))
 
 for _name, (_dims, _measures) in semantic.VISUALS.items():
     _label = f"{_measures[0]}_by_{'_'.join(d.split('.')[-1] for d in _dims)}" if _dims \
@@ -563,9 +568,9 @@ for _name, (_dims, _measures) in semantic.VISUALS.items():
         lambda i, n=_name: semantic.visual(n, i.star,
                                            where="device_type IN ('Android', 'iOS')"
                                            if n == "36d" else None))
-query("vz_36e_amount_by_flag")(lambda i: quantiles.box_stats(i.featured, "amount", "is_flagged"))
-query("vz_37_platform_shares")(lambda i: semantic.platform_shares(i.featured))
-query("vz_37_top_reasons_others")(lambda i: semantic.top_reasons(i.featured, 3))
+query("vz_36e_amount_by_flag")(lambda i: quantiles.box_stats(i.stripped, "amount", "is_flagged"))
+query("vz_37_platform_shares")(lambda i: semantic.platform_shares(i.stripped))
+query("vz_37_top_reasons_others")(lambda i: semantic.top_reasons(i.stripped, 3))
 
 # ---------------------------------------------------------------------------
 # Sorts and limits that are not part of another report

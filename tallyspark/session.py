@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Do not record a Python call site for every column built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
