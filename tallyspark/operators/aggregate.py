@@ -40,7 +40,9 @@ class Share:
 
 @dataclass(frozen=True)
 class Report:
-    keys: tuple = ()               # names, or (name, SQL text or column builder) pairs
+    # A key is a name, (name, SQL text or column builder), or (name, SQL text, form):
+    # grouped on the cheap value, shown through ``form`` ("{}" is the value) afterwards.
+    keys: tuple = ()
     measures: tuple = ()
     where: str | None = None
     order: tuple = ()              # "-x" is descending
@@ -56,7 +58,9 @@ class Report:
 
 def run(report: Report, facts: DataFrame, dimensions=(), restrict=()) -> DataFrame:
     """``dimensions`` lend attributes to the keys; ``restrict`` only keep matching rows."""
-    keys = [k if isinstance(k, tuple) else (k, k) for k in report.keys]
+    keys = [k[:2] if isinstance(k, tuple) else (k, k) for k in report.keys]
+    forms = {k[0]: F.expr(k[2].format(f"`{k[0]}`")) for k in report.keys if len(k) == 3
+             and isinstance(k, tuple)}
     rows = facts.filter(report.where) if report.where else facts
     used, own, borrowed = _resolve(keys, rows, dimensions)
 
@@ -75,6 +79,9 @@ def run(report: Report, facts: DataFrame, dimensions=(), restrict=()) -> DataFra
         grouped = rows.groupBy(*own_columns).agg(*[t.first().alias(names[t]) for t in terms])
     grouped = grouped.withColumnsRenamed({f"_k{i}": name for i, (name, _) in enumerate(keys)})
 
+    if forms:
+        grouped = grouped.withColumns(forms)
+
     if not report.keep_null_keys and keys:
         grouped = grouped.dropna(subset=[name for name, _ in keys])
     return _present(report, grouped, [name for name, _ in keys], names)
@@ -99,7 +106,7 @@ def mentions(report: Report) -> str:
     """All SQL text of a report, for finding the derived columns it uses."""
     texts = [report.where or ""]
     for key in report.keys:
-        name, sql = key if isinstance(key, tuple) else (key, key)
+        sql = key[1] if isinstance(key, tuple) else key
         texts.append(sql if isinstance(sql, str) else "")
     terms = [t for m in report.measures for t in m.terms()] + [s.of for s in report.shares]
     return " ".join(texts + [f"{t.value} {t.where or ''}" for t in terms])

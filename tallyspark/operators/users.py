@@ -25,19 +25,22 @@ def user_behaviour(t: DataFrame) -> DataFrame:
     )
 
 
-def user_table(t: DataFrame, u: DataFrame) -> DataFrame:
+def user_table(t: DataFrame, u: DataFrame, behaviour: DataFrame | None = None) -> DataFrame:
     """Behaviour and profile of every user with a transaction, at user grain."""
-    return user_behaviour(t).join(profile_columns(u), "user_id", "left")
+    if behaviour is None:
+        behaviour = user_behaviour(t)
+    return behaviour.join(profile_columns(u), "user_id", "left")
 
 
-def enrich(t: DataFrame, u: DataFrame) -> DataFrame:
+def enrich(t: DataFrame, u: DataFrame, behaviour: DataFrame | None = None) -> DataFrame:
     """The 52-column enriched table.
 
     Profile and behaviour are put together at user grain first, so the transactions
-    meet one join, not five.  A NULL user matches nothing and counts as spending 0.
+    meet one join, not five.  A stored :func:`user_behaviour` table may be passed in.
+    A NULL user matches nothing and counts as spending 0.
     """
     base = add_row_features(strip_text(t))
-    joined = base.join(user_table(base, u), "user_id", "left")
+    joined = base.join(user_table(base, u, behaviour), "user_id", "left")
     zero = F.col("user_id").isNull()
     return joined.withColumns({
         "user_total_spend": F.when(zero, F.lit(0)).otherwise(F.col("user_total_spend"))
@@ -84,32 +87,17 @@ def segments(t: DataFrame, places=True) -> DataFrame:
 def top_spenders(t: DataFrame, u: DataFrame, n=20) -> DataFrame:
     """The ``n`` users with the highest Success spend among those with a profile.
 
-    The two distinct counts run over (user, method, category) combinations, which a
-    map-side aggregate has already collapsed; the profile join runs at user grain.
+    The ranking needs sums only, one row per user.  The distinct counts are taken in a
+    second pass over the transactions of the ``n`` users found, so no distinct shuffle
+    of the whole table takes place; the broadcast side has ``n`` rows.
     """
-    value = mean("avg_txn_value", "amount", places=2)
-    combos = run(Report(keys=("user_id", "payment_method", "category"), measures=(
-        rows("n"), total("spent", "amount", OK, exact=True), total("volume", "amount", exact=True),
-        count_of("n_amount", "amount"), total("cashback", "cashback_earned", exact=True),
-    )), t)
-    per_user = combos.groupBy("user_id").agg(
-        F.sum("n").alias("total_txn"),
-        F.sum("spent").cast("double").alias("total_spent"),
-        F.sum("volume").alias("volume"),
-        F.sum("n_amount").alias("n_amount"),
+    profile = u.select("user_id", "age_group", "customer_tier", "spending_persona")
+    top = run(Report(keys=("user_id",), measures=(
+        rows("total_txn"), total("total_spent", "amount", OK),
+        mean("avg_txn_value", "amount", places=2), total("total_cashback", "cashback_earned"),
+    )), t).join(profile, "user_id").orderBy(F.desc("total_spent"), "user_id").limit(n)
+    used = t.select("user_id", "payment_method", "category").join(F.broadcast(top), "user_id")
+    return used.groupBy(*top.columns).agg(
         F.count_distinct("payment_method").alias("methods_used"),
         F.count_distinct("category").alias("categories_used"),
-        F.sum("cashback").cast("double").alias("total_cashback"),
-    )
-    parts = {value.top: "volume", value.bottom: "n_amount"}
-    profile = u.select("user_id", "age_group", "customer_tier", "spending_persona")
-    return (
-        per_user.join(profile, "user_id")
-        .select(
-            "user_id", "age_group", "customer_tier", "spending_persona", "total_txn",
-            "total_spent", value.finish(parts.get), "methods_used",
-            "categories_used", "total_cashback",
-        )
-        .orderBy(F.desc("total_spent"), "user_id")
-        .limit(n)
-    )
+    ).orderBy(F.desc("total_spent"), "user_id")

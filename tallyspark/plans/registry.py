@@ -59,7 +59,9 @@ class Inputs:
 
     @property
     def enriched(self) -> DataFrame:
-        return users.enrich(self.raw, self.profiles)
+        # Behaviour does not need the looked-up city.
+        plain_rows = clean.strip_text(orders_feed.transactions(self.spark, self.folder))
+        return users.enrich(self.raw, self.profiles, users.user_behaviour(plain_rows))
 
     @property
     def star(self) -> dict:

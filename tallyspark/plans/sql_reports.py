@@ -15,7 +15,7 @@ from tallyspark.operators.aggregate import Dimension, Report, Share, run
 from tallyspark.operators.joins import profile_columns, with_profiles
 from tallyspark.operators.users import segments, top_spenders
 
-MONTH = ("txn_month", derive.year_month)
+MONTH = derive.month_key("txn_month")
 HOUR = ("txn_hour", "hour(transaction_datetime)")
 N = rows("total_txn")
 SUCCESS = rate("success_rate", OK, places=2)
@@ -37,7 +37,7 @@ REPORTS = {
         N, rows("success_count", OK), rows("fail_count", BAD), SUCCESS, avg("avg_txn_amount"),
         total("total_successful_amount", "amount", OK),
     ), order=("-success_rate", "payment_method")),
-    "1c": Report((MONTH, ("month_name", "date_format(transaction_datetime, 'MMMM')")), (
+    "1c": Report((MONTH, ("month_name", "trunc(transaction_datetime, 'MM')", "date_format({}, 'MMMM')")), (
         N, rows("success_count", OK), SUCCESS, total("total_volume", "amount"),
     ), order=("txn_month",)),
     "1d": Report(("city",), (
@@ -61,7 +61,7 @@ REPORTS = {
     "2d": Report((MONTH, ("season_type", derive.season_type)), (
         rows("txn_count"), total("total_volume", "amount"), USERS, avg("avg_txn_value"),
     ), order=("txn_month",)),
-    "2e": Report((("quarter", "concat('Q', quarter(transaction_datetime))"), "category"), (
+    "2e": Report((("quarter", "quarter(transaction_datetime)", "concat('Q', {})"), "category"), (
         rows("txn_count"), total("successful_volume", "amount", OK),
     ), order=("quarter", "-txn_count", "category")),
     "3a": Report(("failure_reason",), (
@@ -151,7 +151,7 @@ REPORTS = {
         N, avg("avg_txn_amount"), SUCCESS, total("total_volume", "amount", OK),
         total("total_cashback", "cashback_earned"), rate("fraud_flag_rate", FLAGGED, places=2),
     ), where="device_type IN ('Android', 'iOS')", order=("mobile_os",)),
-    "v1": Report((("month", derive.year_month), "payment_method", "category", "platform",
+    "v1": Report((derive.month_key("month"), "payment_method", "category", "platform",
                   "device_type", "city", "status", "is_weekend"), (
         rows("txn_count"), total("total_amount", "amount"), avg("avg_amount"),
         avg("avg_processing_time", "processing_time_sec"),

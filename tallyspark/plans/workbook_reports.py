@@ -11,7 +11,7 @@ from tallyspark.functions.measures import (
 from tallyspark.operators.aggregate import Report, Share, run
 from tallyspark.operators.users import segments, user_activity
 
-MONTH = ("month", derive.year_month)
+MONTH = derive.month_key("month")
 HOUR = ("hour", "hour(transaction_datetime)")
 TOTAL = rows("total")
 SUCCESS = rate("success_rate", OK, scale=1)
@@ -38,7 +38,7 @@ REPORTS = {
                                   SUCCESS), order=("month",)),
     "4": _report("city", measures=(TOTAL, rows("success", OK), AVG, SUCCESS),
                  order=("-total", "city")),
-    "5": _report(HOUR, ("hour_label", "concat(lpad(hour(transaction_datetime), 2, '0'), ':00')"),
+    "5": _report(HOUR, ("hour_label", "hour(transaction_datetime)", "concat(lpad({}, 2, '0'), ':00')"),
                  measures=(TOTAL, VOLUME, AVG, SUCCESS), order=("hour",)),
     "6": _report(("day_name", derive.day_name), measures=(TOTAL, VOLUME, SUCCESS),
                  fixed=("day_name", schemas.WEEKDAYS, ())),

@@ -92,6 +92,7 @@ TENURES = ["0-6 months", "6-12 months", "1-2 years", "2-5 years", "5+ years"]
 TIERS = ["New", "Regular", "Premium", "VIP"]
 PERSONAS = ["Budget", "Moderate", "High Spender", "Impulse"]
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 TIME_BUCKETS = ["Morning", "Afternoon", "Evening", "Night"]
 SPEEDS = ["Instant", "Fast", "Normal", "Slow", "Very Slow"]
 SEGMENTS = ["Power User (20+)", "Regular User (10-19)", "Occasional User (5-9)",

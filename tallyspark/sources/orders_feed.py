@@ -67,12 +67,9 @@ def transactions(spark: SparkSession, folder: str, city=False) -> DataFrame:
     orders = table(spark, folder, "orders", ORDERS)
     if city:
         customers = table(spark, folder, "customer", CUSTOMER).select("c_custkey", "c_nationkey")
-        nations = table(spark, folder, "nation", NATION)
-        homes = customers.join(nations, F.expr("c_nationkey = n_nationkey"), "left")
-        orders = orders.join(
-            homes.select("c_custkey", F.col("n_name").alias("city")),
-            F.expr("o_custkey = c_custkey"), "left",
-        )
+        nations = table(spark, folder, "nation", NATION).withColumnRenamed("n_name", "city")
+        orders = orders.join(customers, F.expr("o_custkey = c_custkey"), "left").join(
+            nations, F.expr("c_nationkey = n_nationkey"), "left")
     step1 = orders.selectExpr(
         "o_orderkey AS k", "o_custkey", "o_orderpriority",
         "timestampadd(HOUR, o_orderkey % 24, o_orderdate) AS transaction_datetime",
