@@ -63,6 +63,22 @@ def run(report: Report, facts: DataFrame, dimensions=(), restrict=()) -> DataFra
              and isinstance(k, tuple)}
     rows = facts.filter(report.where) if report.where else facts
     used, own, borrowed = _resolve(keys, rows, dimensions)
+    rows = rows.withColumns({f"_k{i}": _column(sql) for i, (_, sql) in own})
+    own_columns = [f"_k{i}" for i, _ in own]
+
+    for d in [d for d in restrict if d.fixed_size]:
+        rows = rows.join(F.broadcast(d.table.select(d.key)), d.key, "left_semi")
+    growing = [d for d in used if not d.fixed_size]
+    checks = [replace(d, how="left_semi") for d in restrict if not d.fixed_size]
+    if growing or checks:
+        # A large dimension is joined to the reduced rows.  The small ones go first: their
+        # attributes take fewer values than their keys, so the rows reduce further.
+        for d in [d for d in used if d.fixed_size]:
+            side, names_of = _side(d, borrowed)
+            rows = rows.join(F.broadcast(side), d.key, d.how).withColumnsRenamed(names_of)
+            own_columns += names_of.values()
+            borrowed = [(i, sql) for i, sql in borrowed if sql not in names_of]
+        used = growing + checks
 
     terms = []
     for item in [t for m in report.measures for t in m.terms()] + [s.of for s in report.shares]:
@@ -70,10 +86,7 @@ def run(report: Report, facts: DataFrame, dimensions=(), restrict=()) -> DataFra
             terms.append(item)
     names = {t: f"_t{i}" for i, t in enumerate(terms)}
 
-    rows = rows.withColumns({f"_k{i}": _column(sql) for i, (_, sql) in own})
-    own_columns = [f"_k{i}" for i, _ in own]
-    if used or restrict:
-        used = used + [replace(d, how="left_semi") for d in restrict]
+    if used:
         grouped = _reduce_then_join(rows, used, own_columns, borrowed, terms, names)
     else:
         grouped = rows.groupBy(*own_columns).agg(*[t.first().alias(names[t]) for t in terms])
@@ -116,6 +129,14 @@ def _column(key) -> Column:
     return F.expr(key) if isinstance(key, str) else key()
 
 
+def _side(dimension, borrowed):
+    """The columns of a dimension a report needs, and their key names."""
+    names_of = {} if dimension.how == "left_semi" else {
+        sql: f"_k{i}" for i, sql in borrowed if sql in dimension.table.columns
+    }
+    return dimension.table.select(dimension.key, *names_of), names_of
+
+
 def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
     links = list(dict.fromkeys(d.key for d in used))
     counted = [t for t in terms if not t.additive]
@@ -128,12 +149,9 @@ def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
         *[t.first().alias(names[t]) for t in additive], *marker
     )
     for d in used:
-        attributes = [] if d.how == "left_semi" else [
-            sql for _, sql in borrowed if sql in d.table.columns
-        ]
-        side = d.table.select(d.key, *dict.fromkeys(attributes))
+        side, names_of = _side(d, borrowed)
         reduced = reduced.join(F.broadcast(side) if d.fixed_size else side, d.key, d.how)
-    reduced = reduced.withColumnsRenamed({sql: f"_k{i}" for i, sql in borrowed})
+        reduced = reduced.withColumnsRenamed(names_of)
     outputs = []
     for t in terms:
         if t.additive:

@@ -8,7 +8,7 @@ from tallyspark.functions.derive import day_name
 from tallyspark.functions.measures import (
     BAD, FLAGGED, OK, REFUNDED, Term, mean, rate, rows, total,
 )
-from tallyspark.operators.aggregate import Report, Share, run
+from tallyspark.operators.aggregate import Dimension, Report, Share, run
 from tallyspark.operators.joins import orphan_ids, orphan_rows
 
 CRITICAL = {"null_txn_id": "transaction_id", "null_user_id": "user_id",
@@ -197,6 +197,21 @@ def savings_summary(e: DataFrame) -> DataFrame:
     )), e)
 
 
+def feature_distributions(e: DataFrame, behaviour: DataFrame) -> DataFrame:
+    """Counts of the four banded features.
+
+    The spending tier belongs to the user, so the transactions are counted per user and
+    the tier is joined to those counts rather than to every transaction.
+    """
+    bands = value_counts(e, ["time_bucket", "amount_bucket", "processing_speed"])
+    tier = Dimension(behaviour.select("user_id", "user_spending_tier"), "user_id", "left")
+    tiers = run(Report(("user_spending_tier",), (rows("n"),)), e, [tier]).select(
+        F.lit("user_spending_tier").alias("field"),
+        F.col("user_spending_tier").alias("value"), "n",
+    )
+    return bands.unionByName(tiers)
+
+
 def distribution(t: DataFrame, column: str, with_pct=True) -> DataFrame:
     share = (Share("pct", Term("rows")),) if with_pct else ()
     return run(Report(keys=(column,), measures=(rows("cnt"),), shares=share,

@@ -422,8 +422,9 @@ query("dq_21_user_value_counts")(lambda i: quality.value_counts(
     i.profiles, ["age_group", "customer_tier", "spending_persona"]))
 query("dq_22_ranges")(lambda i: quality.ranges(i.raw))
 query("dq_23_flag_refund_promotion")(lambda i: quality.promotion_and_flag_profile(i.raw))
-query("dq_24_feature_distributions")(lambda i: quality.value_counts(
-    i.enriched, ["time_bucket", "amount_bucket", "processing_speed", "user_spending_tier"]))
+query("dq_24_feature_distributions")(lambda i: quality.feature_distributions(
+    derive.add_row_features(i.stripped, ["time_bucket", "amount_bucket", "processing_speed"]),
+    users.user_behaviour(i.stripped)))
 query("dq_25_savings_summary")(lambda i: quality.savings_summary(derive.add_row_features(
     i.stripped, ["total_savings", "savings_pct"])))
 query("dq_26_status_distribution")(lambda i: quality.distribution(i.raw, "status"))
