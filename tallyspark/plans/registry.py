@@ -1,8 +1,10 @@
-"""Every runnable query by name: ``QUERIES[name](spark, folder) -> DataFrame``.
+"""Every runnable query by name.
 
-The queries read the order tables of ``folder`` through ``sources.orders_feed``.
-Results are shown with plain types: decimals as DOUBLE, dates and timestamps as ISO
-text, so that any client compares them alike.
+``QUERIES[name](spark, folder)`` reads the order tables of ``folder`` through
+``sources.orders_feed``; ``run_query(name, Tables(transactions, profiles))`` runs the
+same query over any tables of the two schemas.  Results are shown with plain types
+(decimals as DOUBLE, dates and timestamps as ISO text), so that any client compares
+them alike.
 """
 
 from datetime import date
@@ -27,28 +29,20 @@ SELECTION = {
 }
 
 
-class Inputs:
-    """The tables a query starts from; ``city`` asks for the looked-up city column."""
+class Tables:
+    """Raw transactions and profiles, and the tables every query starts from."""
 
-    def __init__(self, spark: SparkSession, folder: str, city=False):
-        self.spark, self.folder, self.city = spark, folder, city
-
-    @property
-    def raw(self) -> DataFrame:
-        return orders_feed.transactions(self.spark, self.folder, self.city)
+    def __init__(self, raw: DataFrame, profiles: DataFrame):
+        self.raw, self.profiles, self.spark = raw, profiles, raw.sparkSession
 
     @property
     def dirty(self) -> DataFrame:
-        return orders_feed.with_faults(self.raw)
+        return self.raw
 
     @property
     def cleaned(self) -> DataFrame:
         return clean.clean(self.raw)
 
-    @property
-    def profiles(self) -> DataFrame:
-        return orders_feed.user_profiles(self.spark, self.folder, self.city)
-
     @property
     def stripped(self) -> DataFrame:
         return clean.strip_text(self.raw)
@@ -57,20 +51,41 @@ class Inputs:
     def featured(self) -> DataFrame:
         return derive.add_row_features(self.stripped)
 
+    @property
+    def behaviour(self) -> DataFrame:
+        return users.user_behaviour(self.stripped)
+
     @property
     def enriched(self) -> DataFrame:
-        # Behaviour does not need the looked-up city.
-        plain_rows = clean.strip_text(orders_feed.transactions(self.spark, self.folder))
-        return users.enrich(self.raw, self.profiles, users.user_behaviour(plain_rows))
+        return users.enrich(self.raw, self.profiles, self.behaviour)
 
     @property
-    def star(self) -> dict:
+    def star(self) -> star.Star:
         return star.build_star(self.featured, self.profiles)
 
     def folder_for(self, purpose: str) -> str:
         return writers.shared_folder(self.spark, purpose)
 
 
+class FeedTables(Tables):
+    """The same tables derived from order tables; ``city`` looks the city column up."""
+
+    def __init__(self, spark: SparkSession, folder: str, city=False):
+        super().__init__(orders_feed.transactions(spark, folder, city),
+                         orders_feed.user_profiles(spark, folder, city))
+        self.folder = folder
+
+    @property
+    def dirty(self) -> DataFrame:
+        return orders_feed.with_faults(self.raw)
+
+    @property
+    def behaviour(self) -> DataFrame:
+        # Behaviour does not need the looked-up city.
+        return users.user_behaviour(
+            clean.strip_text(orders_feed.transactions(self.spark, self.folder)))
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals, dates and timestamps in the form results are compared in."""
     casts = {}
@@ -85,16 +100,23 @@ def plain(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
+BUILDERS = {}
 QUERIES = {}
 
 
 def query(name, city=False):
     def add(build):
-        QUERIES[name] = lambda spark, folder: plain(build(Inputs(spark, folder, city)))
+        BUILDERS[name] = build
+        QUERIES[name] = lambda spark, folder: plain(build(FeedTables(spark, folder, city)))
         return build
     return add
 
 
+def run_query(name: str, tables: Tables) -> DataFrame:
+    """A registered query over any transactions and profiles."""
+    return plain(BUILDERS[name](tables))
+
+
 def _all(prefix, names, build, city=()):
     for name, label in names.items():
         query(f"{prefix}_{name}_{label}", name in city)(lambda i, n=name: build(i, n))

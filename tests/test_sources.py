@@ -1,6 +1,7 @@
 from datetime import datetime
 
 from tallyspark import schemas
+from tallyspark.__main__ import main
 from tallyspark.functions.derive import add_row_features
 from tallyspark.operators import clean, users
 from tallyspark.operators.star import build_star
@@ -82,3 +83,15 @@ def test_intake_gives_the_batch_result(spark, tmp_path):
     # A second run finds nothing new.
     intake.start_intake(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination(120)
     assert spark.read.parquet(f"{tmp_path}/out").count() == 3
+
+
+def test_command_line(spark, tmp_path):
+    writers.write_csv(_table(spark), f"{tmp_path}/t")
+    writers.write_csv(profiles(spark, {}), f"{tmp_path}/u")
+    inputs = ["--transactions", f"{tmp_path}/t", "--profiles", f"{tmp_path}/u"]
+    main(["enrich", *inputs, "--out", f"{tmp_path}/e"], spark)
+    assert readers.read_enriched(spark, f"{tmp_path}/e").count() == 3
+    main(["star", *inputs, "--out", f"{tmp_path}/s"], spark)
+    assert readers.load_star(spark, f"{tmp_path}/s", "parquet")["dim_users"].count() == 1
+    main(["report", "sql_1a_overall_success", *inputs, "--out", f"{tmp_path}/r"], spark)
+    assert spark.read.parquet(f"{tmp_path}/r").first().total_transactions == 3
