@@ -842,9 +842,20 @@ SQL["st_3_dim_payment_method"] = literal_dim("payment_method", "payment_type", P
   AS base_failure_rate""")
 SQL["st_4_dim_category"] = literal_dim("category", "category_group", CAT_GROUP)
 SQL["st_5_dim_platform"] = literal_dim("platform", "channel", CHANNEL)
-SQL["st_7_relationship_check"] = """SELECT * FROM (VALUES ('dim_date', 0::BIGINT, 0::BIGINT),
-  ('dim_users', 0, 0), ('dim_payment_method', 0, 0), ('dim_category', 0, 0), ('dim_platform', 0, 0))
-  v(dimension, n_keys, n_rows)"""
+_UNMATCHED = {
+    "dim_date": ("transaction_datetime", "transaction_datetime IS NULL"),
+    "dim_users": ("user_id", "user_id NOT IN (SELECT user_id FROM transactions UNION ALL SELECT -1)"),
+    "dim_payment_method": ("payment_method", "payment_method NOT IN ('UPI', 'Credit Card', "
+                           "'Debit Card', 'Net Banking', 'Mobile Wallet')"),
+    "dim_category": ("trim(category)", "trim(category) NOT IN ('Food & Dining', 'Shopping', "
+                     "'Bills & Utilities', 'Travel', 'Entertainment', 'Health', 'Education', "
+                     "'Transfers', 'Groceries', 'Investments')"),
+    "dim_platform": ("platform", "platform NOT IN ('Mobile App', 'Web Browser', 'POS Terminal', "
+                     "'QR Code')"),
+}
+SQL["st_7_relationship_check"] = " UNION ALL ".join(
+    f"SELECT '{dim}' AS dimension, count(DISTINCT {key}) AS n_keys, count(*) AS n_rows "
+    f"FROM dirty WHERE {lost}" for dim, (key, lost) in _UNMATCHED.items())
 
 # --------------------------------------------------------------------------- semantic layer
 M = {
