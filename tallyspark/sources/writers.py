@@ -1,5 +1,6 @@
 """Writers: enriched table, star schema, findings, raw export."""
 
+import re
 import tempfile
 import uuid
 
@@ -25,11 +26,15 @@ CSV_OUT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8",
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names the place in ``spark.checkpoint.dir``; only a session without
-    that setting (a single machine) falls back to a temporary folder.
+    The cluster names the place in ``spark.checkpoint.dir``.  Only a session on one
+    machine may lack that setting; it gets a temporary folder.  On a cluster such a folder
+    would be a different one on every executor, so there the setting is required.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.match(r"local($|\[)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         return tempfile.mkdtemp(prefix=f"tallyspark-{purpose}-")
     return f"{base.rstrip('/')}/tallyspark-{purpose}-{uuid.uuid4().hex}"
 
