@@ -1,3 +1,48 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES = {}
+# Line frequency rules: words and windows as lists, lines counted as texts instead of hashes.
+OP10 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
+), w AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM d
+), g AS (
+    SELECT r, i, list_aggregate(words[i:i + 4], 'string_agg', ' ') AS win
+    FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM w)
+), rep AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM g) WHERE n > 1
+), cov AS (
+    SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM rep, range(0, 5) AS s(k) GROUP BY r
+), l AS (
+    SELECT r, source, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
+    FROM (SELECT r, source, unnest(lines) AS line FROM w)
+), hosts AS (
+    SELECT source, count(*) AS n FROM d GROUP BY source
+), freq AS (
+    SELECT l.source, line FROM l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+    GROUP BY l.source, line, h.n
+    HAVING count(DISTINCT r) > 20 AND count(DISTINCT r) > h.n * 0.005::DOUBLE
+), gone AS (
+    SELECT r, sum(len(string_split(l.line, ' ')))::BIGINT AS n
+    FROM l JOIN freq f ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line GROUP BY r
+), f AS (
+    SELECT doc_id, len(words)::BIGINT AS n_words,
+           length(array_to_string(words, ''))::BIGINT AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+           coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+           coalesce(gone.n, 0) AS removed
+    FROM w LEFT JOIN cov USING (r) LEFT JOIN gone USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR n_repeat_words * 100 > n_words * 20 AS base_failed,
+       NOT (n_words < 10 OR n_repeat_words * 100 > n_words * 20)
+       AND NOT (removed > 0 AND (n_words - removed < 10 OR (n_words - removed) * 100 < n_words * 30)) AS kept
+FROM f
+"""
+
+ORACLES = {
+    "op10_line_frequency_rules": OP10,
+}

@@ -1,5 +1,6 @@
 """Registered queries of the training-data operators."""
 
+from tallyspark.llm.quality import quality_verdicts
 from tallyspark.llm.shared import read_table
 from tallyspark.llm.sharding import interleaved_shards
 
@@ -8,6 +9,10 @@ def op3_interleaved_shards(spark, folder):
     return interleaved_shards(read_table(spark, folder, "documents")).drop("source", "fraction")
 
 
+def op10_line_frequency_rules(spark, folder):
+    return quality_verdicts(read_table(spark, folder, "documents")).drop("n_removed_words", "host")
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_interleaved_shards,
+    op3_interleaved_shards, op10_line_frequency_rules,
 )}

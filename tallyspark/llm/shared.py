@@ -66,3 +66,19 @@ def running_before(df: DataFrame, by: list[str], bucket: str, order: list[str],
     if total:
         joined = joined.withColumn(total, F.col("_total"))
     return joined.drop("_inside", "_earlier", "_total", *[f"_key{i}" for i in range(len(keys))])
+
+
+# The white space that separates words, as the words pattern has it.
+BLANKS = " \t\n\x0b\f\r"
+BLANK_RUN = "[\\x20\\x09-\\x0D]+"
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once per row, also inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def words_of(text: Column) -> Column:
+    """The words of a text (none for NULL): runs of characters that are not blanks."""
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, BLANK_RUN))
