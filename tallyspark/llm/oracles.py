@@ -43,6 +43,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+
+
+def _fill(source, parents, level, weight):
+    """One level of the budget tree: (parents, level, capacity, budget) to a budget per node."""
+    part = f"PARTITION BY {', '.join(parents)}" if parents else ""
+    keys = ", ".join([*parents, level])
+    return f"""
+    SELECT {keys}, CASE WHEN filled THEN capacity ELSE (
+               (budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER ({part})) * weight
+               // greatest(sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({part}), 1)) END::BIGINT AS budget
+    FROM (SELECT *, capacity * sum(weight) OVER (
+                     {part} ORDER BY capacity / weight, {level} NULLS FIRST
+                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                 <= (budget - coalesce(sum(capacity) OVER (
+                     {part} ORDER BY capacity / weight, {level} NULLS FIRST
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) * weight AS filled
+          FROM (SELECT *, {weight} AS weight FROM ({source})))"""
+
+
+def _order(*parts):
+    text = " || ':' || ".join(["'mix'", *parts])
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
+# Hierarchical mixture: the budget tree level by level, then prefixes of seeded shuffles.
+OP1 = f"""
+WITH d AS (
+    SELECT doc_id, lang, source,
+           coalesce('domain' || nullif(regexp_extract(source, '([0-9]{{1,9}})$', 1), '')::BIGINT % 4, 'other') AS domain,
+           len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
+    FROM documents
+), leaves AS (
+    SELECT domain, lang, source, sum(tokens)::BIGINT AS supply, 2 * sum(tokens)::BIGINT AS cap FROM d GROUP BY ALL
+), l1 AS ({_fill("SELECT domain, sum(cap) AS capacity, (SELECT least(sum(supply) * 600 // 1000, sum(cap)) FROM leaves) AS budget FROM leaves GROUP BY domain",
+                 [], "domain", "CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END")}
+), l2 AS ({_fill("SELECT l.domain, lang, sum(cap) AS capacity, any_value(budget) AS budget FROM leaves l JOIN l1 USING (domain) GROUP BY l.domain, lang",
+                 ["domain"], "lang", "CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 3 WHEN 'fr' THEN 3 WHEN 'es' THEN 2 ELSE 1 END")}
+), l3 AS ({_fill("SELECT l.domain, l.lang, source, sum(cap) AS capacity, any_value(budget) AS budget FROM leaves l JOIN l2 ON l.domain = l2.domain AND l.lang IS NOT DISTINCT FROM l2.lang GROUP BY l.domain, l.lang, source",
+                 ["domain", "lang"], "source", "CASE source WHEN 'src0' THEN 3 WHEN 'src1' THEN 2 ELSE 1 END")}
+), plan AS (
+    SELECT l.*, budget, CASE WHEN supply = 0 THEN 1 ELSE budget // supply END AS epochs
+    FROM leaves l JOIN l3 ON l.domain = l3.domain AND l.lang IS NOT DISTINCT FROM l3.lang
+                         AND l.source IS NOT DISTINCT FROM l3.source
+), placed AS (
+    SELECT d.*, epochs, budget - epochs * supply AS rest,
+           {_order("epochs", "coalesce(doc_id::VARCHAR, '')")} AS h
+    FROM d JOIN plan p ON d.domain = p.domain AND d.lang IS NOT DISTINCT FROM p.lang
+                      AND d.source IS NOT DISTINCT FROM p.source
+), taken AS (
+    SELECT *, epochs + CASE WHEN coalesce(sum(tokens) OVER (
+                 PARTITION BY domain, lang, source ORDER BY h
+                 RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END AS copies
+    FROM placed
+)
+SELECT doc_id, domain AS mix_domain, lang, source, unnest(range(copies))::INTEGER AS mix_epoch FROM taken
+"""
+
 ORACLES = {
+    "op1_hierarchical_mixture": OP1,
     "op10_line_frequency_rules": OP10,
 }

@@ -1,10 +1,24 @@
 """Registered queries of the training-data operators."""
 
+from tallyspark.llm.mixing import mix_to_weights
 from tallyspark.llm.quality import quality_verdicts
 from tallyspark.llm.shared import read_table
 from tallyspark.llm.sharding import interleaved_shards
 
 
+# Target weights of the mixture; labels that are not named weigh 1.
+MIXTURE = {
+    "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
+    "lang": {"en": 5, "de": 3, "fr": 3, "es": 2},
+    "source": {"src0": 3, "src1": 2},
+}
+
+
+def op1_hierarchical_mixture(spark, folder):
+    mixed = mix_to_weights(read_table(spark, folder, "documents"), MIXTURE, share=0.6, max_epochs=2)
+    return mixed.select("doc_id", "mix_domain", "lang", "source", "mix_epoch")
+
+
 def op3_interleaved_shards(spark, folder):
     return interleaved_shards(read_table(spark, folder, "documents")).drop("source", "fraction")
 
@@ -14,5 +28,5 @@ def op10_line_frequency_rules(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_interleaved_shards, op10_line_frequency_rules,
+    op1_hierarchical_mixture, op3_interleaved_shards, op10_line_frequency_rules,
 )}

@@ -82,3 +82,16 @@ def words_of(text: Column) -> Column:
     """The words of a text (none for NULL): runs of characters that are not blanks."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, BLANK_RUN))
+
+
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a stored table of narrow rows, with a broadcast hint if it has few rows."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> list[Column]:
+    """Join conditions ``left.k <=> right._on_k``."""
+    return [left[k].eqNullSafe(right[f"_on_{k}"]) for k in keys]
