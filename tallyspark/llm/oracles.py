@@ -100,7 +100,19 @@ WITH d AS (
 SELECT doc_id, domain AS mix_domain, lang, source, unnest(range(copies))::INTEGER AS mix_epoch FROM taken
 """
 
+# Exact duplicates after lower-casing A-Z only.
+OP5 = """
+WITH d AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS body FROM documents
+)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(body) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY body)
+"""
+
 ORACLES = {
+    "op5_extendible_hash_dedup": OP5,
     "op1_hierarchical_mixture": OP1,
     "op10_line_frequency_rules": OP10,
 }

@@ -1,5 +1,6 @@
 """Registered queries of the training-data operators."""
 
+from tallyspark.llm.exact_dedup import exact_duplicates
 from tallyspark.llm.mixing import mix_to_weights
 from tallyspark.llm.quality import quality_verdicts
 from tallyspark.llm.shared import read_table
@@ -23,10 +24,15 @@ def op3_interleaved_shards(spark, folder):
     return interleaved_shards(read_table(spark, folder, "documents")).drop("source", "fraction")
 
 
+def op5_extendible_hash_dedup(spark, folder):
+    return exact_duplicates(read_table(spark, folder, "documents"))
+
+
 def op10_line_frequency_rules(spark, folder):
     return quality_verdicts(read_table(spark, folder, "documents")).drop("n_removed_words", "host")
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_hierarchical_mixture, op3_interleaved_shards, op10_line_frequency_rules,
+    op1_hierarchical_mixture, op3_interleaved_shards, op5_extendible_hash_dedup,
+    op10_line_frequency_rules,
 )}
