@@ -1,5 +1,8 @@
 """Registered queries of the training-data operators."""
 
+import public_tokenizers
+
+from tallyspark.llm.bpe import round_trip_digests
 from tallyspark.llm.exact_dedup import exact_duplicates
 from tallyspark.llm.mixing import mix_to_weights
 from tallyspark.llm.quality import quality_verdicts
@@ -28,11 +31,16 @@ def op5_extendible_hash_dedup(spark, folder):
     return exact_duplicates(read_table(spark, folder, "documents"))
 
 
+def op7_byte_level_bpe(spark, folder):
+    return round_trip_digests(read_table(spark, folder, "documents"),
+                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op10_line_frequency_rules(spark, folder):
     return quality_verdicts(read_table(spark, folder, "documents")).drop("n_removed_words", "host")
 
 
 QUERIES = {f.__name__: f for f in (
     op1_hierarchical_mixture, op3_interleaved_shards, op5_extendible_hash_dedup,
-    op10_line_frequency_rules,
+    op7_byte_level_bpe, op10_line_frequency_rules,
 )}
