@@ -1,6 +1,7 @@
 """Registered queries of the training-data operators."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from tallyspark.llm.bpe import round_trip_digests
 from tallyspark.llm.exact_dedup import exact_duplicates
@@ -8,6 +9,7 @@ from tallyspark.llm.mixing import mix_to_weights
 from tallyspark.llm.quality import quality_verdicts
 from tallyspark.llm.shared import read_table
 from tallyspark.llm.sharding import interleaved_shards
+from tallyspark.llm.token_files import read_token_files, write_token_files
 
 
 # Target weights of the mixture; labels that are not named weigh 1.
@@ -36,11 +38,18 @@ def op7_byte_level_bpe(spark, folder):
                               public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op8_huffman_token_files(spark, folder):
+    files = write_token_files(read_table(spark, folder, "documents"),
+                              public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_line_frequency_rules(spark, folder):
     return quality_verdicts(read_table(spark, folder, "documents")).drop("n_removed_words", "host")
 
 
 QUERIES = {f.__name__: f for f in (
     op1_hierarchical_mixture, op3_interleaved_shards, op5_extendible_hash_dedup,
-    op7_byte_level_bpe, op10_line_frequency_rules,
+    op7_byte_level_bpe, op8_huffman_token_files,
+    op10_line_frequency_rules,
 )}
