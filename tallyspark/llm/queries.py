@@ -9,6 +9,7 @@ from tallyspark.llm.mixing import mix_to_weights
 from tallyspark.llm.quality import quality_verdicts
 from tallyspark.llm.shared import read_table
 from tallyspark.llm.sharding import interleaved_shards
+from tallyspark.llm.substring_dedup import repeated_windows_removed
 from tallyspark.llm.token_files import read_token_files, write_token_files
 
 
@@ -44,6 +45,11 @@ def op8_huffman_token_files(spark, folder):
     return read_token_files(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_repeated_windows(spark, folder):
+    done = repeated_windows_removed(read_table(spark, folder, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_line_frequency_rules(spark, folder):
     return quality_verdicts(read_table(spark, folder, "documents")).drop("n_removed_words", "host")
 
@@ -51,5 +57,5 @@ def op10_line_frequency_rules(spark, folder):
 QUERIES = {f.__name__: f for f in (
     op1_hierarchical_mixture, op3_interleaved_shards, op5_extendible_hash_dedup,
     op7_byte_level_bpe, op8_huffman_token_files,
-    op10_line_frequency_rules,
+    op9_repeated_windows, op10_line_frequency_rules,
 )}
