@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.bpe import round_trip_digests
 from tallyspark.llm.exact_dedup import exact_duplicates
+from tallyspark.llm.language_id import frozen_statistics, identify_languages
 from tallyspark.llm.mixing import mix_to_weights
 from tallyspark.llm.quality import quality_verdicts
 from tallyspark.llm.shared import read_table
@@ -30,6 +31,11 @@ def op3_interleaved_shards(spark, folder):
     return interleaved_shards(read_table(spark, folder, "documents")).drop("source", "fraction")
 
 
+def op4_ppm_language_id(spark, folder):
+    docs = read_table(spark, folder, "documents")
+    return identify_languages(docs, frozen_statistics(docs)).drop("bits_per_byte")
+
+
 def op5_extendible_hash_dedup(spark, folder):
     return exact_duplicates(read_table(spark, folder, "documents"))
 
@@ -56,6 +62,6 @@ def op10_line_frequency_rules(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_hierarchical_mixture, op3_interleaved_shards, op5_extendible_hash_dedup,
-    op7_byte_level_bpe, op8_huffman_token_files,
+    op4_ppm_language_id, op7_byte_level_bpe, op8_huffman_token_files,
     op9_repeated_windows, op10_line_frequency_rules,
 )}
