@@ -7,6 +7,7 @@ from tallyspark.llm.bpe import round_trip_digests
 from tallyspark.llm.exact_dedup import exact_duplicates
 from tallyspark.llm.language_id import frozen_statistics, identify_languages
 from tallyspark.llm.mixing import mix_to_weights
+from tallyspark.llm.near_dedup import near_duplicates
 from tallyspark.llm.quality import quality_verdicts
 from tallyspark.llm.shared import read_table
 from tallyspark.llm.sharding import interleaved_shards
@@ -40,6 +41,10 @@ def op5_extendible_hash_dedup(spark, folder):
     return exact_duplicates(read_table(spark, folder, "documents"))
 
 
+def op6_order_min_hash(spark, folder):
+    return near_duplicates(read_table(spark, folder, "documents"))
+
+
 def op7_byte_level_bpe(spark, folder):
     return round_trip_digests(read_table(spark, folder, "documents"),
                               public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -62,6 +67,6 @@ def op10_line_frequency_rules(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_hierarchical_mixture, op3_interleaved_shards, op5_extendible_hash_dedup,
-    op4_ppm_language_id, op7_byte_level_bpe, op8_huffman_token_files,
+    op4_ppm_language_id, op6_order_min_hash, op7_byte_level_bpe, op8_huffman_token_files,
     op9_repeated_windows, op10_line_frequency_rules,
 )}
