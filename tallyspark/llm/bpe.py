@@ -270,8 +270,9 @@ def decode_documents(encoded: DataFrame, rank_file: str) -> DataFrame:
         work, "doc_id long, ids binary, bytes binary, ends binary")
 
 
-def round_trip_digests(docs: DataFrame, rank_file: str) -> DataFrame:
-    """Token count and digests of each document's ids and of the bytes decoded from them."""
+def round_trip(docs: DataFrame, rank_file: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): the ids of each document, and the
+    digests of the ids and of the bytes decoded from them."""
     return decode_documents(encode_documents(docs, rank_file), rank_file).select(
-        "doc_id", F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
+        "doc_id", F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.arrow import utf8_of
-from tallyspark.llm.shared import materialise
+from tallyspark.llm.shared import kept_rows, materialise, row_hash
 
 # The letters that the comparison lower-cases.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
-ROWS = "doc_id long, ref long, hash long, body binary, sha256 string, top_id long, copies long"
+ROWS = "doc_id long, row_hash long, ref long, hash long, body binary, sha256 string, top_id long, copies long"
 RESOLVED = "ref long, keep_id long, group_size long, text_sha256 string"
 
 
@@ -51,7 +51,7 @@ def _local_entries(batches):
             return pa.array([e and e[name] for e in column], kind)
 
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id").cast(pa.int64()), pa.array(refs, pa.int64()), of("hash", pa.int64()),
+            batch.column("doc_id"), batch.column("row_hash"), pa.array(refs, pa.int64()), of("hash", pa.int64()),
             of("body", pa.binary()),
             pa.array([e and hashlib.sha256(e["body"]).hexdigest() for e in column], pa.string()),
             of("top", pa.int64()), of("n", pa.int64()),
@@ -131,8 +131,8 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     ignored.
     """
     spark = docs.sparkSession
-    rows = materialise(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-                       .mapInArrow(_local_entries, ROWS), "index")
+    rows = materialise(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
+                                   row_hash(text).alias("row_hash")).mapInArrow(_local_entries, ROWS), "index")
     entries = rows.filter(F.col("hash").isNotNull())
     slot = F.shiftright("hash", 64 - max_depth) + (1 << (max_depth - 1))
     held = (entries.groupBy("hash").agg(F.max(F.octet_length("body")).alias("size"))
@@ -149,7 +149,12 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
         .repartition("bucket").sortWithinPartitions("bucket", "hash").drop("bucket")
         .mapInArrow(_owner, RESOLVED)
     )
-    members = rows.select("doc_id", "ref")
+    members = rows.select("doc_id", "row_hash", "ref")
     return members.join(resolved, "ref").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        "text_sha256")
+        "text_sha256", "row_hash")
+
+
+def exact_unique(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, unchanged."""
+    return kept_rows(docs, exact_duplicates(docs))

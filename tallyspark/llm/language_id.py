@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.llm.arrow import slices_of, utf8_of
 
@@ -13,7 +14,6 @@ ORDER = 3
 GAP = b"\n" * ORDER
 SCORED_BYTES = 8
 GRAMS = "lang string, k int, gram long, n long"
-RESULT = "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double"
 
 
 def held_out(key: Column) -> Column:
@@ -161,48 +161,74 @@ class ByteTrees:
 _TREES: dict = {}
 
 
-def identify_languages(docs: DataFrame, stats: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The language of every whole text: the one whose frozen trees code it in the fewest bits.
-
-    ``score`` is the probability of that language, all being equally likely before, for a
+def _trees(stats: dict) -> ByteTrees | None:
+    """The trees of frozen statistics, built once per Python worker."""
+    if not stats["languages"]:
+        return None
+    if stats["name"] not in _TREES:
+        _TREES.clear()
+        _TREES[stats["name"]] = ByteTrees(stats)
+    return _TREES[stats["name"]]
+
+
+def _predict(trees: ByteTrees | None, part: pa.RecordBatch) -> list[pa.Array]:
+    """Language, score and bits per byte of the texts of a batch."""
+    letters = part.column("_has_letter").to_pylist()
+    if not trees:
+        return [pa.array(["und"] * len(letters), pa.string()), pa.array([0.0] * len(letters), pa.float64()),
+                pa.nulls(len(letters), pa.float64())]
+    data, at = utf8_of(part.column("_text"))
+    bits = trees.code_lengths(data, at) / np.maximum(np.diff(at), 1)[:, None]
+    best, least = bits.argmin(1).tolist(), bits.min(1)
+    chance = 1 / np.exp2(-SCORED_BYTES * (bits - least[:, None])).sum(1)
+    return [pa.array([trees.languages[b] if known else "und" for b, known in zip(best, letters)], pa.string()),
+            pa.array([c if known else 0.0 for c, known in zip(chance.tolist(), letters)], pa.float64()),
+            pa.array([m if known else None for m, known in zip(least.tolist(), letters)], pa.float64())]
+
+
+def with_language(docs: DataFrame, stats: dict, text: str = "text") -> DataFrame:
+    """``docs`` with ``_lang_pred``, ``_score`` and ``_bits_per_byte``, row by row.
+
+    The language of a whole text is the one whose frozen trees code it in the fewest bits.
+    The score is the probability of that language, all being equally likely before, for a
     stretch of 8 bytes at the text's mean code lengths: near 1 for a text of one language,
-    lower the more a text mixes.  ``bits_per_byte`` is the mean code length.
+    lower the more a text mixes.
 
     Defined results: ``und`` with score 0 for a NULL text, one without a letter, or when no
     language was learned; of languages with equal code lengths the first by name; every row
     gives a row, whatever its id; an empty table gives an empty result; labels and other
-    columns are not read here.
+    columns are passed on unread.
     """
     shared = docs.sparkSession.sparkContext.broadcast(stats)
+    kept = docs.columns
+    names = [*(f"_{i}" for i in range(len(kept))), "_lang_pred", "_score", "_bits_per_byte"]
 
     def work(batches):
-        name = shared.value["name"]
-        if shared.value["languages"] and name not in _TREES:
-            _TREES.clear()
-            _TREES[name] = ByteTrees(shared.value)
-        trees = _TREES.get(name)
+        trees = _trees(shared.value)
         for batch in batches:
-            for part in slices_of(batch, "text", 2 << 20):
-                names, scores, means = [], [], []
-                usable = part.column("has_letter").to_pylist()
-                if trees:
-                    data, at = utf8_of(part.column("text"))
-                    bits = trees.code_lengths(data, at) / np.maximum(np.diff(at), 1)[:, None]
-                    best = bits.argmin(1)
-                    least = bits.min(1)
-                    chance = 1 / np.exp2(-SCORED_BYTES * (bits - least[:, None])).sum(1)
-                for row, letters in enumerate(usable):
-                    found = bool(letters and trees)
-                    names.append(trees.languages[best[row]] if found else "und")
-                    scores.append(float(chance[row]) if found else 0.0)
-                    means.append(float(least[row]) if found else None)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("held_out"), pa.array(names, pa.string()),
-                    pa.array(scores, pa.float64()), pa.array(means, pa.float64()),
-                ], names=[p.split()[0] for p in RESULT.split(", ")])
+            for part in slices_of(batch, "_text", 2 << 20):
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(f"_{i}") for i in range(len(kept))), *_predict(trees, part)], names=names)
 
+    # Columns travel under numbers, so that none can clash with another.
     rows = docs.select(
-        F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
-        held_out(F.col(key)).alias("held_out"),
-        F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
-    return rows.mapInArrow(work, RESULT)
+        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(kept)], F.col(text).alias("_text"),
+        F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_has_letter"))
+    schema = T.StructType([*rows.schema.fields[:len(kept)], T.StructField("_lang_pred", T.StringType()),
+                           T.StructField("_score", T.DoubleType()), T.StructField("_bits_per_byte", T.DoubleType())])
+    return rows.mapInArrow(work, schema).toDF(*kept, "_lang_pred", "_score", "_bits_per_byte")
+
+
+def identify_languages(docs: DataFrame, stats: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, held_out, lang_pred, score, bits_per_byte) of every document."""
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
+                       held_out(F.col(key)).alias("held_out"))
+    return with_language(rows, stats).select(
+        "doc_id", "held_out", F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"),
+        F.col("_bits_per_byte").alias("bits_per_byte"))
+
+
+def accepted_languages(docs: DataFrame, stats: dict, least_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text is in a known language, by at least ``least_score``."""
+    return with_language(docs, stats).filter(
+        (F.col("_lang_pred") != "und") & (F.col("_score") >= least_score)).select(*docs.columns)

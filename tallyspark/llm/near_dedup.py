@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.alignment import FAR, edit_distances
 from tallyspark.llm.arrow import slices_of, utf8_of
-from tallyspark.llm.shared import materialise
+from tallyspark.llm.shared import kept_rows, materialise, row_hash
 from tallyspark.llm.substring_dedup import mixed, polynomial, window_hashes, word_hashes
 
 GRAM_BASE = 0xD6E8FEB86659FD93
 PLACE_BITS = 24
 
-SKETCHED = "doc_id long, content binary, n_words int, sketch array<long>"
+SKETCHED = "doc_id long, row_hash long, content binary, n_words int, sketch array<long>"
 WORDS = "content binary, words binary"
 DISTANCES = "a long, b long, distance long"
 
@@ -103,7 +103,7 @@ def _sketch(gram: int, sketches: int, kept: int):
                 where = {row: i for i, row in enumerate(rows)}
                 places = [where.get(row) for row in range(len(contents))]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(contents, pa.binary()),
+                    part.column("doc_id"), part.column("row_hash"), pa.array(contents, pa.binary()),
                     pa.array([None if i is None else int(counts[i]) for i in places], pa.int32()),
                     pa.array([None if i is None else values[i] if counts[i] else [] for i in places],
                              pa.list_(pa.int64())),
@@ -195,7 +195,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, ske
     ignored.
     """
     reach = 2 * (1 - similarity)
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+                       row_hash(text).alias("row_hash"))
     sketched = materialise(rows.mapInArrow(_sketch(gram, sketches, kept), SKETCHED), "sketches")
     nodes = materialise(sketched.filter(F.col("sketch").isNotNull()).select("content", "n_words", "sketch")
                         .dropDuplicates(["content"]).withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -250,5 +251,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, ske
     classes = named.join(ids, "content")
     tops = classes.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("class_id"))
     classes = materialise(classes.join(tops, F.col("root") == F.col("_root")).select("content", "class_id"), "classes")
-    return sketched.select("doc_id", "content").join(classes, "content").select(
-        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    return sketched.select("doc_id", "row_hash", "content").join(classes, "content").select(
+        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"), "row_hash")
+
+
+def near_unique(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each class, unchanged."""
+    return kept_rows(docs, near_duplicates(docs))

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tallyspark.llm.bpe import round_trip_digests
+from tallyspark.llm.bpe import round_trip
 from tallyspark.llm.exact_dedup import exact_duplicates
 from tallyspark.llm.language_id import frozen_statistics, identify_languages
 from tallyspark.llm.mixing import mix_to_weights
@@ -38,16 +38,16 @@ def op4_ppm_language_id(spark, folder):
 
 
 def op5_extendible_hash_dedup(spark, folder):
-    return exact_duplicates(read_table(spark, folder, "documents"))
+    return exact_duplicates(read_table(spark, folder, "documents")).drop("row_hash")
 
 
 def op6_order_min_hash(spark, folder):
-    return near_duplicates(read_table(spark, folder, "documents"))
+    return near_duplicates(read_table(spark, folder, "documents")).drop("row_hash")
 
 
 def op7_byte_level_bpe(spark, folder):
-    return round_trip_digests(read_table(spark, folder, "documents"),
-                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    rank_file = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return round_trip(read_table(spark, folder, "documents"), rank_file).drop("ids")
 
 
 def op8_huffman_token_files(spark, folder):

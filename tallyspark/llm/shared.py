@@ -95,3 +95,19 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> list[Column]:
     """Join conditions ``left.k <=> right._on_k``."""
     return [left[k].eqNullSafe(right[f"_on_{k}"]) for k in keys]
+
+
+def row_hash(text: str) -> Column:
+    """Tells rows apart that share an id: a hash of the text, 0 for NULL."""
+    return F.coalesce(F.when(F.col(text).isNotNull(), F.xxhash64(text)), F.lit(0).cast("bigint"))
+
+
+def kept_rows(docs: DataFrame, verdicts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``verdicts`` (doc_id, row_hash, kept) keep, as they are.
+
+    Rows alike in id and text share a verdict: they are one document.
+    """
+    keep = verdicts.filter("kept").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"))
+    rows = docs.withColumn("_own_hash", row_hash(text))
+    return rows.join(keep, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")),
+                     "left_semi").drop("_own_hash")
