@@ -9,6 +9,7 @@ from tallyspark.llm.language_id import frozen_statistics, identify_languages
 from tallyspark.llm.mixing import mix_to_weights
 from tallyspark.llm.near_dedup import near_duplicates
 from tallyspark.llm.quality import quality_verdicts
+from tallyspark.llm.quotations import reply_ordered
 from tallyspark.llm.shared import read_table
 from tallyspark.llm.sharding import interleaved_shards
 from tallyspark.llm.substring_dedup import repeated_windows_removed
@@ -28,6 +29,10 @@ def op1_hierarchical_mixture(spark, folder):
     return mixed.select("doc_id", "mix_domain", "lang", "source", "mix_epoch")
 
 
+def op2_quotation_linking(spark, folder):
+    return reply_ordered(read_table(spark, folder, "conversations"))
+
+
 def op3_interleaved_shards(spark, folder):
     return interleaved_shards(read_table(spark, folder, "documents")).drop("source", "fraction")
 
@@ -66,7 +71,7 @@ def op10_line_frequency_rules(spark, folder):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_hierarchical_mixture, op3_interleaved_shards, op5_extendible_hash_dedup,
+    op1_hierarchical_mixture, op2_quotation_linking, op3_interleaved_shards, op5_extendible_hash_dedup,
     op4_ppm_language_id, op6_order_min_hash, op7_byte_level_bpe, op8_huffman_token_files,
     op9_repeated_windows, op10_line_frequency_rules,
 )}
