@@ -728,7 +728,10 @@ SQL["ap_13_hourly_failures"] = pandas_group("hour", {
 SQL["ap_14_method_reason_crosstab"] = pandas_group("payment_method", {
     f'"{r}"': n(f"failure_reason = '{r}'") for r in (
         "Bank Server Down", "Insufficient Balance", "Server Timeout", "Session Expired",
-        "Card Declined")}, f"{BAD} AND failure_reason IS NOT NULL")
+        "Card Declined")} | {'"Other"': n("""failure_reason NOT IN ('Bank Server Down', 'Insufficient Balance',
+        'Server Timeout', 'Session Expired', 'Card Declined')""")}, f"{BAD} AND failure_reason IS NOT NULL")
+SQL["ap_14_method_reason_counts"] = pandas_group(
+    ["payment_method", "failure_reason"], {"count": N}, f"{BAD} AND failure_reason IS NOT NULL")
 SQL["ap_15_age_groups"] = pandas_group("age_group", {
     "count": N, "avg_amt": avg(), "users": USERS}, table="tu")
 SQL["ap_16_tiers"] = pandas_group("customer_tier", {

@@ -120,7 +120,8 @@ def net_amount() -> Column:
 
 def savings_pct() -> Column:
     share = F.round(total_savings() * 100 / F.nullif(F.col("amount"), F.lit(0)), 2)
-    return F.when(F.col("amount") > 0, share).otherwise(F.lit(0)).cast("decimal(12,2)")
+    # One dirty row (savings far above the amount) must not stop a job: it has no percentage.
+    return F.when(F.col("amount") > 0, share).otherwise(F.lit(0)).try_cast("decimal(12,2)")
 
 
 def savings_tier() -> Column:
@@ -146,6 +147,9 @@ def unit_text(value, unit, sign="") -> Column:
     return F.concat(F.lit(sign), scaled.cast("string"), F.lit(suffix))
 
 
+TS = "transaction_datetime"
+
+
 # ---------------------------------------------------------------------------
 # Time
 # ---------------------------------------------------------------------------
@@ -159,6 +163,14 @@ def is_festival_season(ts="transaction_datetime") -> Column:
     return F.month(ts).isin(FESTIVAL_MONTHS).cast("int")
 
 
+def is_month_start(ts=TS) -> Column:
+    return (F.day(ts) <= MONTH_START_TO).cast("int")
+
+
+def is_month_end(ts=TS) -> Column:
+    return (F.day(ts) >= MONTH_END_FROM).cast("int")
+
+
 def season_type(ts="transaction_datetime") -> Column:
     month = F.month(ts)
     return _chain(
@@ -282,7 +294,6 @@ def add_generated_columns(t: DataFrame) -> DataFrame:
     })
 
 
-TS = "transaction_datetime"
 # Every feature of the enriched table that needs only the transaction itself.
 ROW_FEATURES = {
     "date": lambda: F.to_date(TS),
@@ -297,8 +308,8 @@ ROW_FEATURES = {
     "hour": lambda: F.hour(TS),
     "time_bucket": lambda: time_slot(F.hour(TS), "pipeline"),
     "week_number": lambda: F.weekofyear(TS),
-    "is_month_start": lambda: (F.day(TS) <= MONTH_START_TO).cast("int"),
-    "is_month_end": lambda: (F.day(TS) >= MONTH_END_FROM).cast("int"),
+    "is_month_start": is_month_start,
+    "is_month_end": is_month_end,
     "is_festival_season": is_festival_season,
     "amount_bucket": amount_bucket,
     "net_amount": net_amount,

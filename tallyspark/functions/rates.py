@@ -9,10 +9,10 @@ sums.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 22 integer digits on top and 14 below leave 14 fractional digits in the quotient,
-# so rounding to a few places does not round twice.
+# 22 integer digits on top and 26 below: sums of money stay far from an overflow, and the
+# quotient still has 14 fractional digits, so rounding to a few places does not round twice.
 TOP = "decimal(30,8)"
-BOTTOM = "decimal(16,2)"
+BOTTOM = "decimal(28,2)"
 
 # Columns with at most two decimals.
 MONEY = {"amount", "refund_amount", "cashback_earned", "discount_applied", "total_savings",

@@ -25,14 +25,15 @@ def selection(date_from=None, date_to=None, methods=(), statuses=(), cities=(),
     An empty list filters nothing and an inverted range is turned round.  The range is
     put on the timestamp itself, so it reaches the scan.
     """
-    if date_from is not None and date_to is not None and date_from > date_to:
+    plain = not isinstance(date_from, Column) and not isinstance(date_to, Column)
+    if plain and date_from is not None and date_to is not None and date_from > date_to:
         date_from, date_to = date_to, date_from
     ts = F.col("transaction_datetime")
     wanted = F.lit(True)
     if date_from is not None:
-        wanted = wanted & (ts >= F.lit(date_from).cast("timestamp_ntz"))
+        wanted = wanted & (ts >= _literal(date_from).cast("timestamp_ntz"))
     if date_to is not None:
-        wanted = wanted & (ts < F.date_add(F.lit(date_to), 1).cast("timestamp_ntz"))
+        wanted = wanted & (ts < F.date_add(_literal(date_to), 1).cast("timestamp_ntz"))
     chosen = {"methods": methods, "statuses": statuses, "cities": cities,
               "categories": categories}
     for name, values in chosen.items():
@@ -41,6 +42,10 @@ def selection(date_from=None, date_to=None, methods=(), statuses=(), cities=(),
     return wanted
 
 
+def _literal(day) -> Column:
+    return day if isinstance(day, Column) else F.lit(day)
+
+
 def apply_filters(e: DataFrame, **chosen) -> DataFrame:
     return e.filter(selection(**chosen))
 

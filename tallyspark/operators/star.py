@@ -6,13 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import schemas
-from tallyspark.functions.derive import date_key, status_flags
-from tallyspark.operators.joins import unmatched_keys
+from tallyspark.functions.derive import (
+    date_key, day_name, is_festival_season, is_month_end, is_month_start, month_name, status_flags,
+)
+from tallyspark.operators.joins import profile_columns, unmatched_keys
 from tallyspark.operators.users import user_table
 
-DATE_ATTRIBUTES = ["year", "month", "month_name", "quarter", "quarter_label", "day",
-                   "day_of_week", "day_name", "week_number", "is_weekend",
-                   "is_month_start", "is_month_end", "is_festival_season"]
+# Attributes of a date; each follows from the date alone.
+DATE_ATTRIBUTES = {
+    "year": F.year, "month": F.month, "month_name": month_name,
+    "month_year": lambda d: F.concat_ws(" ", month_name(d), F.year(d)),
+    "quarter": F.quarter, "quarter_label": lambda d: F.concat(F.lit("Q"), F.quarter(d)),
+    "day": F.day, "day_of_week": F.weekday, "day_name": day_name, "week_number": F.weekofyear,
+    "is_weekend": lambda d: (F.weekday(d) >= 5).cast("int"),
+    "is_month_start": is_month_start, "is_month_end": is_month_end,
+    "is_festival_season": is_festival_season, "date_key": date_key,
+}
 KEYS = {"dim_date": "date_key", "dim_users": "user_id",
         "dim_payment_method": "payment_method", "dim_category": "category",
         "dim_platform": "platform"}
@@ -37,15 +46,14 @@ def dim_platform(spark):
 
 
 def dim_date(e: DataFrame) -> DataFrame:
-    """One row per date that occurs; the attributes follow from the date."""
-    return (
-        e.select("date", *DATE_ATTRIBUTES).dropDuplicates(["date"])
-        .withColumns({
-            "date_key": date_key("date"),
-            "month_year": F.concat_ws(" ", "month_name", "year"),
-        })
+    """One row per date that occurs.
+
+    The dates are made distinct first (a hash aggregate of one column, map side included) and
+    the attributes are derived from the few rows left.
+    """
+    dates = e.select("date").distinct()
+    return dates.withColumns({name: make("date") for name, make in DATE_ATTRIBUTES.items()}) \
         .select(*schemas.DIM_DATE.fieldNames()).orderBy("date")
-    )
 
 
 def dim_users(e: DataFrame, u: DataFrame) -> DataFrame:
@@ -62,8 +70,9 @@ def fact_transactions(e: DataFrame) -> DataFrame:
 class Star(Mapping):
     """The six tables by name; each plan is put together when it is first asked for."""
 
-    def __init__(self, builders: dict):
+    def __init__(self, builders: dict, profiles: DataFrame | None = None):
         self._builders, self._tables = builders, {}
+        self.profiles = profiles   # user attributes that need no behaviour
 
     def __getitem__(self, name):
         if name not in self._tables:
@@ -87,7 +96,7 @@ def build_star(e: DataFrame, u: DataFrame) -> Star:
         "dim_payment_method": lambda: dim_payment_method(spark),
         "dim_category": lambda: dim_category(spark),
         "dim_platform": lambda: dim_platform(spark),
-    })
+    }, profile_columns(u))
 
 
 def relationship_check(star: dict) -> DataFrame:

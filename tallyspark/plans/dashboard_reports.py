@@ -132,10 +132,25 @@ def festival_periods(rows_: DataFrame) -> DataFrame:
     ).orderBy("year")
 
 
-def failure_crosstab(rows_: DataFrame, reasons) -> DataFrame:
-    """Method by failure reason, one column per listed reason, 0 where none."""
+def failure_counts(rows_: DataFrame) -> DataFrame:
+    """(payment_method, failure_reason, count) for every reason that occurs."""
+    return run_over(_report("payment_method", "failure_reason", measures=(rows("count"),),
+                            where=f"{BAD} AND failure_reason IS NOT NULL",
+                            order=("payment_method", "failure_reason")), rows_)
+
+
+def failure_crosstab(rows_: DataFrame, reasons=None, other="Other") -> DataFrame:
+    """Method by failure reason: one column per listed reason and one for all the rest.
+
+    The columns of a table have to be known beforehand; by default they are the reasons of the
+    schema.  ``other`` makes the row sums equal the failed transactions with a reason.
+    """
+    if reasons is None:
+        reasons = sorted({r for own in schemas.FAILURE_REASONS.values() for r in own})
     quoted = {r: r.replace("'", "\\'") for r in reasons}
-    counts = tuple(rows(r, f"failure_reason = '{q}'") for r, q in quoted.items())
+    listed = ", ".join(f"'{q}'" for q in quoted.values())
+    counts = (*(rows(r, f"failure_reason = '{q}'") for r, q in quoted.items()),
+              rows(other, f"failure_reason NOT IN ({listed})"))
     return run_over(_report("payment_method", measures=counts,
                        where=f"{BAD} AND failure_reason IS NOT NULL",
                        order=("payment_method",)), rows_)

@@ -514,6 +514,7 @@ _all("ap", {
 query("ap_2b_festival_periods")(lambda i: dashboard_reports.festival_periods(i.stripped))
 query("ap_14_method_reason_crosstab")(lambda i: dashboard_reports.failure_crosstab(
     i.stripped, orders_feed.FEED_REASONS))
+query("ap_14_method_reason_counts")(lambda i: dashboard_reports.failure_counts(i.stripped))
 query("ap_22_box_with_mean")(lambda i: quantiles.box_stats(
     i.stripped.withColumn("clipped", derive.clipped_amount()), "clipped", "is_flagged",
     with_mean=True))

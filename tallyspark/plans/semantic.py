@@ -14,8 +14,10 @@ from tallyspark.functions import derive
 from tallyspark.functions.measures import (
     BAD, FLAGGED, OK, PENDING, REFUNDED, Term, distinct, mean, per, rate, rows, total,
 )
+from tallyspark.functions.derive import TS
 from tallyspark.operators.aggregate import Dimension, Report, Share, run
-from tallyspark.operators.star import KEYS
+from tallyspark.operators.filters import selection
+from tallyspark.operators.star import DATE_ATTRIBUTES, KEYS
 
 _N = rows("total_transactions")
 _U = distinct("unique_users", "user_id")
@@ -103,31 +105,67 @@ VISUALS = {
 
 
 def visual_query(star: dict, dims=(), measures=(), filters=None, where=None,
-                 limit=1000) -> DataFrame:
+                 limit=None) -> DataFrame:
     """Measures by dimension attributes (``dim_date.month_year``) or fact columns.
 
     ``filters`` maps an attribute of a dimension to a list of values, or to a
     (first, last) tuple for a range; filtered dimensions restrict the fact and nothing
-    else.  ``month_year`` is put in calendar order.
+    else.  ``month_year`` is put in calendar order.  A chart that shows only so many groups
+    passes ``limit``.
+
+    Attributes of a date follow from the fact's own date, so ``dim_date`` is not joined: keys
+    are derived from the fact row, and a date filter is a condition on the fact.  Profile
+    attributes of ``dim_users`` come from the profiles, without the users' behaviour.
     """
+    fact = star["fact_transactions"]
+    dated = TS in fact.columns
     keys, order, hidden, dimensions = [], [], [], []
     for dim in dims:
         table, _, column = dim.rpartition(".")
-        keys.append(column)
+        own_date = dated and table == "dim_date" and column in DATE_ATTRIBUTES
+        keys.append((column, _date_key(column)) if own_date else column)
         if column == "month_year":
-            hidden = ["year", "month"]
-            order += hidden
+            hidden = [(c, _date_key(c)) if own_date else c for c in ("year", "month")]
+            order += ["year", "month"]
         else:
             order.append(column)
+        if own_date:
+            continue
+        if table == "dim_users" and column in getattr(star, "profiles", fact).columns and hasattr(star, "profiles"):
+            if "profiles" not in [name for name, _ in dimensions]:
+                dimensions.append(("profiles", Dimension(star.profiles, "user_id", "left")))
+            continue
         if table and table not in [name for name, _ in dimensions]:
             dimensions.append((table, _dimension(star, table)))
     chosen = tuple(
         replace(MEASURES[m], blank_zero=bool(dims) and m in COUNTS) for m in measures
     )
     report = Report(tuple(keys + hidden), chosen, where=where, order=tuple(order),
-                    limit=limit if dims else None, drop=tuple(hidden), hide_blank=bool(dims))
-    fact = star["fact_transactions"]
-    return run(report, fact, [d for _, d in dimensions], _restrictions(star, filters or {}))
+                    limit=limit if dims else None,
+                    drop=("year", "month") if hidden else (), hide_blank=bool(dims))
+    for attribute, values in (filters or {}).items():
+        table, _, column = attribute.rpartition(".")
+        if dated and table == "dim_date" and (column == "date" or column in DATE_ATTRIBUTES):
+            fact = fact.filter(_on_dates(values) if column == "date" else
+                               _wanted(DATE_ATTRIBUTES[column](TS), values))
+    rest = {a: v for a, v in (filters or {}).items() if not (dated and a.startswith("dim_date."))}
+    return run(report, fact, [d for _, d in dimensions], _restrictions(star, rest))
+
+
+def _date_key(column):
+    return lambda: DATE_ATTRIBUTES[column](TS)
+
+
+def _on_dates(values):
+    """A date filter; a range is put on the timestamp itself, so it reaches the scan."""
+    if isinstance(values, tuple):
+        return selection(*[F.lit(v).cast("date") for v in values])
+    return F.to_date(TS).isin([F.lit(v).cast("date") for v in values])
+
+
+def _wanted(column, values):
+    """In a list of values, or within a (first, last) tuple."""
+    return column.between(*values) if isinstance(values, tuple) else column.isin(list(values))
 
 
 def _dimension(star, table, rows_=None, how="left"):
@@ -139,12 +177,11 @@ def _restrictions(star, filters):
     kept = {}
     for attribute, values in filters.items():
         table, _, column = attribute.rpartition(".")
-        rows_ = kept.get(table, star[table])
-        if isinstance(values, tuple):
-            rows_ = rows_.filter(F.col(column).between(*values))
-        else:
-            rows_ = rows_.filter(F.col(column).isin(list(values)))
-        kept[table] = rows_
+        base = star[table]
+        if table == "dim_users" and column in getattr(star, "profiles", base.limit(0)).columns:
+            base = getattr(star, "profiles", base)
+        rows_ = kept.get(table, base)
+        kept[table] = rows_.filter(_wanted(F.col(column), values))
     return [_dimension(star, table, rows_) for table, rows_ in kept.items()]
 
 
