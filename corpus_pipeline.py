@@ -29,8 +29,7 @@ def near(spark, docs, sf_dir):
 def mix(spark, docs, sf_dir):
     """Nine tenths of the tokens, by the weights of domains, languages and sources, no document
     twice: after deduplication no source is repeated."""
-    mixed = apply_mixture(docs, mixture_plan(docs, MIXTURE, share=0.9, max_epochs=1))
-    return mixed.select(*docs.columns)
+    return apply_mixture(docs, mixture_plan(docs, MIXTURE, share=0.9, max_epochs=1), marks=False)
 
 
 def encode(spark, docs, sf_dir):

@@ -89,7 +89,8 @@ class ByteTrees:
     def __init__(self, stats: dict, least: int = 4):
         self.languages = stats["languages"]
         lang, order, gram, n = stats["lang"], stats["k"], stats["gram"], stats["n"]
-        seen = np.unique(gram[order == 0])
+        whole = gram[order == ORDER]
+        seen = np.unique(np.concatenate([(whole >> (8 * back)) & 255 for back in range(ORDER + 1)]))
         self.symbols = np.zeros(256, np.int64)
         self.symbols[seen] = np.arange(1, len(seen) + 1)
         self.size = size = len(seen) + 1
@@ -186,8 +187,8 @@ def _predict(trees: ByteTrees | None, part: pa.RecordBatch) -> list[pa.Array]:
             pa.array([m if known else None for m, known in zip(least.tolist(), letters)], pa.float64())]
 
 
-def with_language(docs: DataFrame, stats: dict, text: str = "text") -> DataFrame:
-    """``docs`` with ``_lang_pred``, ``_score`` and ``_bits_per_byte``, row by row.
+def _judged(docs: DataFrame, stats: dict, text: str = "text") -> DataFrame:
+    """The columns of ``docs`` under numbers, with ``_lang_pred``, ``_score`` and ``_bits_per_byte``, row by row.
 
     The language of a whole text is the one whose frozen trees code it in the fewest bits.
     The score is the probability of that language, all being equally likely before, for a
@@ -216,19 +217,19 @@ def with_language(docs: DataFrame, stats: dict, text: str = "text") -> DataFrame
         F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_has_letter"))
     schema = T.StructType([*rows.schema.fields[:len(kept)], T.StructField("_lang_pred", T.StringType()),
                            T.StructField("_score", T.DoubleType()), T.StructField("_bits_per_byte", T.DoubleType())])
-    return rows.mapInArrow(work, schema).toDF(*kept, "_lang_pred", "_score", "_bits_per_byte")
+    return rows.mapInArrow(work, schema)
 
 
 def identify_languages(docs: DataFrame, stats: dict, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, bits_per_byte) of every document."""
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
                        held_out(F.col(key)).alias("held_out"))
-    return with_language(rows, stats).select(
-        "doc_id", "held_out", F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"),
+    return _judged(rows, stats).select(
+        F.col("_0").alias("doc_id"), F.col("_2").alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"),
         F.col("_bits_per_byte").alias("bits_per_byte"))
 
 
 def accepted_languages(docs: DataFrame, stats: dict, least_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose text is in a known language, by at least ``least_score``."""
-    return with_language(docs, stats).filter(
-        (F.col("_lang_pred") != "und") & (F.col("_score") >= least_score)).select(*docs.columns)
+    good = _judged(docs, stats).filter((F.col("_lang_pred") != "und") & (F.col("_score") >= least_score))
+    return good.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -114,23 +114,28 @@ def mixture_plan(docs: DataFrame, weights: dict, share: float = 0.5, max_epochs:
 
 
 def apply_mixture(docs: DataFrame, plan: DataFrame, seed: str = "mix", key: str = "doc_id",
-                  domain: Column | None = None) -> DataFrame:
+                  domain: Column | None = None, marks: bool = True) -> DataFrame:
     """The rows of ``docs`` that the plan takes, once for every epoch that takes them.
 
-    Adds the columns ``mix_domain`` and ``mix_epoch``.  A row is judged on its own, against its
+    With ``marks``, ``mix_domain`` and ``mix_epoch`` are added (in place of columns of that
+    name).  A row is judged on its own, against its
     leaf's line of the plan: texts are not shuffled.
     """
-    rows = docs.withColumn("mix_domain", domain_of(F.col("source")) if domain is None else domain)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_id"), "lang", "source",
+                       (domain_of(F.col("source")) if domain is None else domain).alias("mix_domain"))
     found = plan.select(F.col("domain").alias("_on_domain"), F.col("lang").alias("_on_lang"),
                         F.col("source").alias("_on_source"), F.col("epochs").alias("_epochs"),
                         F.col("cut").alias("_cut"))
     on = [rows["mix_domain"].eqNullSafe(found["_on_domain"]), rows["lang"].eqNullSafe(found["_on_lang"]),
           rows["source"].eqNullSafe(found["_on_source"])]
-    place = seeded_order(seed, F.col("_epochs"), F.col(key))
+    place = seeded_order(seed, F.col("_epochs"), F.col("_id"))
     copies = F.col("_epochs") + F.coalesce((place <= F.col("_cut")).cast("int"), F.lit(0))
     epochs = F.when(copies > 0, F.sequence(F.lit(0), copies - 1)).otherwise(F.array().cast("array<int>"))
-    return rows.join(broadcast_if_small(found), on).withColumn("mix_epoch", F.explode(epochs)) \
-        .select(*docs.columns, "mix_domain", "mix_epoch")
+    taken = rows.join(broadcast_if_small(found), on).select("_row", "mix_domain", F.explode(epochs).alias("mix_epoch"))
+    if not marks:
+        return taken.select("_row.*")
+    own = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("mix_domain", "mix_epoch")]
+    return taken.select(*own, "mix_domain", "mix_epoch")
 
 
 def mix_to_weights(docs: DataFrame, weights: dict, share: float = 0.5, max_epochs: int = 2,

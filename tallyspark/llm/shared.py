@@ -108,6 +108,6 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame, key: str = "doc_id", text: s
     Rows alike in id and text share a verdict: they are one document.
     """
     keep = verdicts.filter("kept").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"))
-    rows = docs.withColumn("_own_hash", row_hash(text))
-    return rows.join(keep, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")),
-                     "left_semi").drop("_own_hash")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_own"), row_hash(text).alias("_own_hash"))
+    return rows.join(keep, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_hash")),
+                     "left_semi").select("_row.*")
