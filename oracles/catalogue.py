@@ -235,6 +235,10 @@ OVERVIEW = {"total_txn": N, "success_txn": n(OK), "success_rate": f"coalesce({sh
 SQL["flt_9_slicer"] = f"SELECT transaction_id, payment_method, category FROM ft WHERE {PICKED}"
 SQL["flt_9_slicer_inverted_dates"] = group("ft", [], OVERVIEW, PICKED)
 SQL["flt_10_preset_all"] = group("ft", [], OVERVIEW)
+SQL["flt_10_presets"] = """SELECT '1999' AS preset, count(*) AS rows FROM ft WHERE year(date) = 1999
+  UNION ALL SELECT '2000', count(*) FROM ft WHERE year(date) = 2000
+  UNION ALL SELECT '6M', count(*) FROM ft WHERE date >= DATE '2000-07-01'
+  UNION ALL SELECT 'All', count(*) FROM ft"""
 SQL["flt_11_option_lists"] = """SELECT DISTINCT 'payment_method' AS field, payment_method AS option FROM ft
   UNION ALL SELECT DISTINCT 'status', status FROM ft UNION ALL SELECT DISTINCT 'city', city FROM ft
   UNION ALL SELECT DISTINCT 'category', category FROM ft"""

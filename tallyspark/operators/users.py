@@ -32,15 +32,18 @@ def user_table(t: DataFrame, u: DataFrame, behaviour: DataFrame | None = None) -
     return behaviour.join(profile_columns(u), "user_id", "left")
 
 
-def enrich(t: DataFrame, u: DataFrame, behaviour: DataFrame | None = None) -> DataFrame:
+def enrich(t: DataFrame, u: DataFrame, behaviour: DataFrame | None = None,
+           users: DataFrame | None = None) -> DataFrame:
     """The 52-column enriched table.
 
     Profile and behaviour are put together at user grain first, so the transactions
-    meet one join, not five.  A stored :func:`user_behaviour` table may be passed in.
-    A NULL user matches nothing and counts as spending 0.
+    meet one join, not five.  ``users`` is a stored :func:`user_table`: with it both sides of
+    the join are plain scans, and Spark splits a user that holds a large part of all rows
+    (it cannot split below an aggregation).  Otherwise the table is built from ``behaviour``
+    or from the transactions.  A NULL user matches nothing and counts as spending 0.
     """
     base = add_row_features(strip_text(t))
-    joined = base.join(user_table(base, u, behaviour), "user_id", "left")
+    joined = base.join(user_table(base, u, behaviour) if users is None else users, "user_id", "left")
     zero = F.col("user_id").isNull()
     return joined.withColumns({
         "user_total_spend": F.when(zero, F.lit(0)).otherwise(F.col("user_total_spend"))

@@ -57,7 +57,8 @@ class Tables:
 
     @property
     def enriched(self) -> DataFrame:
-        return users.enrich(self.raw, self.profiles, self.behaviour)
+        stored = writers.stored(users.user_table(self.stripped, self.profiles, self.behaviour), "users")
+        return users.enrich(self.raw, self.profiles, users=stored)
 
     @property
     def star(self) -> star.Star:
@@ -196,7 +197,9 @@ def _(i):
 
 @query("snk_4_raw_export", city=True)
 def _(i):
-    shown = writers.raw_export(i.raw)
+    path = i.folder_for("raw-export")
+    writers.write_raw_export(i.raw, path)
+    shown = writers.read_raw_export(i.spark, path, writers.raw_export(i.raw).schema)
     return shown.withColumn("DateTime", F.date_format("DateTime", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -375,6 +378,9 @@ query("flt_9_slicer_inverted_dates")(lambda i: dashboard_reports.report("1", fil
                                                   "date_to": "1996-01-01"})})))
 query("flt_10_preset_all")(lambda i: dashboard_reports.report(
     "1", filters.apply_filters(i.stripped, **filters.preset("All"))))
+query("flt_10_presets")(lambda i: filters.preset_counts(i.stripped, {
+    "1999": ("1999-01-01", "1999-12-31"), "2000": ("2000-01-01", "2000-12-31"),
+    "6M": ("2000-07-01", None), "All": (None, None)}))
 query("flt_11_option_lists", city=True)(lambda i: filters.option_lists(i.stripped))
 query("flt_11_date_bounds")(lambda i: filters.date_bounds(i.stripped))
 query("flt_12_coverage")(lambda i: filters.coverage(i.stripped, **_dates(SELECTION)))
@@ -396,7 +402,7 @@ query("jn_2_left_profile")(lambda i: joins.with_profiles(i.dirty, i.profiles, "l
 query("jn_3_orphan_rows")(lambda i: joins.orphan_rows(i.dirty, i.profiles).select(
     "transaction_id", "user_id"))
 query("jn_4_orphan_ids")(lambda i: quality.orphan_id_count(i.dirty, i.profiles))
-query("jn_5_user_features_attached")(lambda i: users.enrich(i.raw, i.profiles).select(
+query("jn_5_user_features_attached")(lambda i: i.enriched.select(
     "transaction_id", "user_total_txns", "user_total_spend", "user_avg_txn_amount",
     "user_failure_rate_pct", "user_spending_tier"))
 query("jn_6_tier_merge_filled")(lambda i: dashboard_reports.report(

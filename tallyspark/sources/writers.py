@@ -23,6 +23,10 @@ CSV_OUT = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8",
            "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "emptyValue": ""}
 
 
+# A raw export keeps blanks at the ends of its texts.
+AS_IS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
@@ -39,8 +43,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tallyspark-{purpose}-{uuid.uuid4().hex}"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_OUT).csv(path)
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to a fresh shared folder and read back."""
+    path = f"{shared_folder(df.sparkSession, purpose)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_csv(df: DataFrame, path: str, **options) -> None:
+    df.write.mode("overwrite").options(**{**CSV_OUT, **options}).csv(path)
 
 
 def write_by_month(df: DataFrame, path: str, ts="transaction_datetime") -> None:
@@ -91,4 +102,10 @@ def ordered_by_time(t: DataFrame) -> DataFrame:
 
 
 def write_raw_export(t: DataFrame, path: str) -> None:
-    write_csv(raw_export(t), path)
+    write_csv(raw_export(t), path, **AS_IS)
+
+
+def read_raw_export(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The exported file; a missing reason is the empty text again."""
+    shown = spark.read.schema(schema).options(**CSV_OUT, **AS_IS).csv(path)
+    return shown.withColumn("Failure Reason", F.coalesce("Failure Reason", F.lit("")))

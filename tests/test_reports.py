@@ -188,3 +188,69 @@ def test_distribution_percentages(spark):
     t = transactions(spark, {}, {}, {"status": "Failed"})
     assert [tuple(r) for r in quality.distribution(t, "status").collect()] == [
         ("Success", 2, 66.67), ("Failed", 1, 33.33)]
+
+
+def test_visuals_show_every_group(spark):
+    t = transactions(spark, *[{"merchant": f"m{i}"} for i in range(1200)])
+    star = build_star(add_row_features(t), profiles(spark, {}))
+    assert semantic.visual_query(star, ("merchant",), ("total_transactions",)).count() == 1200
+    assert semantic.visual_query(star, ("merchant",), ("total_transactions",), limit=5).count() == 5
+
+
+def test_failure_matrix_counts_unlisted_reasons(spark):
+    t = transactions(spark, *[{"status": "Failed", "failure_reason": r, "payment_method": "UPI"}
+                              for r in ("OTP Failed", "Brand New", "Brand New")])
+    row = dashboard_reports.failure_crosstab(t).first()
+    assert row["OTP Failed"] == 1 and row["Other"] == 2
+    assert {(r.failure_reason, r["count"]) for r in dashboard_reports.failure_counts(t).collect()} == {
+        ("OTP Failed", 1), ("Brand New", 2)}
+
+
+def test_shares_of_very_large_sums(spark):
+    t = transactions(spark, {"amount": "9999999999.99", "status": "Failed", "failure_reason": "x"})
+    big = t.crossJoin(spark.range(20_000)).drop("id")
+    assert sql_reports.report("3d", big).first().pct_of_total_lost == 100.0
+
+
+def test_savings_far_above_the_amount(spark):
+    from tallyspark.functions.derive import savings_pct
+
+    t = transactions(spark, {"amount": "0.01", "cashback_earned": "1000000"},
+                     {"amount": "10", "cashback_earned": "1"})
+    got = [r.p for r in t.select(savings_pct().alias("p")).collect()]
+    assert Decimal("10.00") in got and len(got) == 2
+
+
+def test_date_and_profile_visuals_scan_once(spark):
+    t = transactions(spark, *[{"user_id": f"USR{i % 3}"} for i in range(9)])
+    u = profiles(spark, *[{"user_id": f"USR{i}"} for i in range(3)])
+    star = build_star(add_row_features(t), u)
+    for name in ("2", "6", "8", "21", "36a", "36b"):
+        plan = semantic.visual(name, star)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "Join" not in plan
+    plan = semantic.visual("16", star)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_a_hot_user_is_split(spark, tmp_path):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        t = transactions(spark, *[{"user_id": f"USR{i % 40 if i % 2 else 0}", "transaction_id": f"T{i}"} for i in range(4000)])
+        t.repartition(8).write.parquet(f"{tmp_path}/t")
+        u = profiles(spark, *[{"user_id": f"USR{i}"} for i in range(40)])
+        t = spark.read.schema(t.schema).parquet(f"{tmp_path}/t")
+        users.user_table(t, u).write.parquet(f"{tmp_path}/u")
+        out = users.enrich(t, u, users=spark.read.parquet(f"{tmp_path}/u"))
+        assert out.count() == 4000
+        rows_ = out.selectExpr(f"sum(hash({', '.join(out.columns)})) AS s")
+        rows_.collect()
+        assert "skew=true" in rows_._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
