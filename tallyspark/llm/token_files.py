@@ -1,6 +1,7 @@
 """Token ids in Huffman-coded files: canonical length-limited codes, independent blocks."""
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -9,23 +10,30 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.llm.arrow import slices_of, utf8_of
+from tallyspark.llm.shared import broadcast_if_small, materialise
 from tallyspark.sources.writers import shared_folder
 
 MAX_BITS = 16
 BLOCK_TOKENS = 1 << 16
 CHECKPOINT_TOKENS = 256
-CACHED_WORDS = 300_000
+CACHED_WORDS = 350_000
 CACHED_LENGTH = 64
 
-BLOCKS = "shard int, block int, doc_ids array<long>, lengths array<int>, checkpoints binary, bits binary"
-DECODED = "shard int, block int, doc_id long, before long, n_tokens long, ids binary"
+STORED = "shard int, place long, doc_id long, before long, n_tokens int, ids binary"
+BLOCKS = ("shard int, place long, before long, tokens long, doc_ids array<long>, lengths array<int>, "
+          "checkpoints binary, bits binary")
+DECODED = "shard int, doc_id long, before long, n_tokens long, ids binary"
+TAIL = re.compile(rb"([a-z])([.,!?;:]+)$")
 
 
 class WordTokenizer:
     """Ids of texts by the tokenizers library, each different word encoded once.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are those of
-    its words (split at ASCII blanks only; the library deals with all other white space).
+    The vocabulary drops white space, never joins across it and lower-cases, so a text's ids
+    are those of its words (split at ASCII blanks only; the library deals with all other white
+    space) after ASCII lower-casing.  Marks that end a word after a letter are a piece of their
+    own, so such a word is put together from two known parts.  Words are cached in two
+    generations of bounded size: what the newer one lacks is looked for in the older one.
     """
 
     def __init__(self, content: bytes):
@@ -34,27 +42,45 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_str(content.decode())
         self.library.encode_special_tokens = True
-        self.cache: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _learn(self, missing: set[bytes]) -> None:
+        """Puts the ids of new words into the newer generation."""
+        known, older = self.words, self.older
+        tails, new = {}, []
+        for word in missing:
+            ids = older.get(word)
+            if ids is not None:
+                known[word] = ids
+            elif (match := TAIL.search(word)) is not None:
+                tails[word] = word[:match.end(1)], match[2]
+            else:
+                new.append(word)
+        parts = {part for pair in tails.values() for part in pair if part not in known and part not in missing}
+        for part in parts:
+            if (ids := older.get(part)) is not None:
+                known[part] = ids
+            else:
+                new.append(part)
+        found = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        known.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(new, found))
+        for word, (core, tail) in tails.items():
+            known[word] = known[core] + known[tail]
 
     def ids_of(self, texts: list[bytes], end: int) -> list[bytes]:
-        """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]
-        known = self.cache
-        missing = list({w for words in split for w in words if w not in known})
-        if len(known) + len(missing) > CACHED_WORDS:
-            known = self.cache = {}
-            missing = list({w for words in split for w in words})
-        known.update(zip(missing, self._encode(missing)))
-        last = np.array([end], "<u4").tobytes()
-        found = [b"".join([*map(known.__getitem__, words), last]) for words in split]
-        for word in missing:
-            if len(word) > CACHED_LENGTH:
-                del known[word]
-        return found
+        """Ids of each text and the end id, as little-endian unsigned integers of ``kind``."""
+        split = [t.lower().split() for t in texts]
+        if len(self.words) > CACHED_WORDS:
+            self.older = {w: ids for w, ids in self.words.items() if len(w) <= CACHED_LENGTH}
+            self.words = {}
+        known = self.words
+        missing = {w for words in split for w in words if w not in known}
+        if missing:
+            self._learn(missing)
+        last = np.array([end], self.kind).tobytes()
+        return [b"".join([*map(known.__getitem__, words), last]) for words in split]
 
 
 _TOKENIZERS: dict = {}
@@ -153,36 +179,71 @@ class Codebook:
         return result
 
 
-def id_counts(docs: DataFrame, content, end: int) -> DataFrame:
-    """(id, n): how often each id occurs, over all documents, the end ids included."""
+def _rows(columns, schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(),
+             "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+    fields = [part.split() for part in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)],
+                                      names=[n for n, _ in fields])
+
+
+def _tokenise(content, end: int):
+    """Ids of the documents of a shard (a task), with place and tokens before in the shard."""
 
     def work(batches):
-        tokenizer, total = _tokenizer(content), np.zeros(0, np.int64)
+        tokenizer, shard = _tokenizer(content), TaskContext.get().partitionId()
+        size, place, before = int(tokenizer.kind[-1]), 0, 0
         for batch in batches:
             for part in slices_of(batch, "text", 2 << 20):
                 data, at = utf8_of(part.column("text"))
                 texts = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                found = np.bincount(np.frombuffer(b"".join(tokenizer.ids_of(texts, end)), "<u4"))
+                ids = tokenizer.ids_of(texts, end)
+                counts = np.array([len(i) // size for i in ids], np.int64)
+                starts = before + np.cumsum(counts) - counts
+                yield _rows([[shard] * len(ids), range(place, place + len(ids)), part.column("doc_id"),
+                             starts, counts.astype(np.int32), ids], STORED)
+                place, before = place + len(ids), before + int(counts.sum())
+
+    return work
+
+
+def _count_ids(kind: str):
+    def work(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for part in slices_of(batch, "ids"):
+                found = np.bincount(np.frombuffer(utf8_of(part.column("ids"))[0], kind))
                 size = max(len(total), len(found))
                 total = np.pad(total, (0, size - len(total))) + np.pad(found, (0, size - len(found)))
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
 
-    return docs.select("text").mapInArrow(work, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return work
 
 
-def _blocks(parts, codebook):
-    """Groups (doc_id, ids) into blocks of whole documents and encodes each."""
-    doc_ids, bodies, held = [], [], 0
-    for doc_id, ids in parts:
-        if held and held + len(ids) // 4 > BLOCK_TOKENS:
-            yield doc_ids, [len(b) // 4 for b in bodies], *codebook.encode(np.frombuffer(b"".join(bodies), "<u4"))
-            doc_ids, bodies, held = [], [], 0
-        doc_ids.append(doc_id)
-        bodies.append(ids)
-        held += len(ids) // 4
-    if doc_ids:
-        yield doc_ids, [len(b) // 4 for b in bodies], *codebook.encode(np.frombuffer(b"".join(bodies), "<u4"))
+def _encode_blocks(lengths: bytes, kind: str):
+    """Blocks of whole documents that follow each other in a shard."""
+
+    def close(run, codebook):
+        shard, place, _, before, _, _ = run[0]
+        counts = [r[4] for r in run]
+        bits, checkpoints = codebook.encode(np.frombuffer(b"".join([r[5] for r in run]), kind))
+        return shard, place, before, sum(counts), [r[2] for r in run], counts, checkpoints, bits
+
+    def work(batches):
+        codebook = Codebook(np.frombuffer(lengths, np.uint8))
+        run, held = [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
+                if run and (held + row[4] > BLOCK_TOKENS or row[0] != run[-1][0] or row[1] != run[-1][1] + 1):
+                    yield _rows(zip(close(run, codebook)), BLOCKS)
+                    run, held = [], 0
+                run.append(row)
+                held += row[4]
+        if run:
+            yield _rows(zip(close(run, codebook)), BLOCKS)
+
+    return work
 
 
 def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str | None = None, end: int = 1,
@@ -190,13 +251,15 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str | None =
     """Writes the ids of all documents in ascending id order; returns the folder.
 
     ``codebook`` holds the code length of every id, from counts over all documents; ``blocks``
-    holds the shards: blocks of whole documents (about 65,536 tokens, more if one document is
-    longer), each with the documents' ids and token counts, its own bit stream, and the bit
-    offset of every 256th token.  Shard and block numbers give the order.
+    holds the coded ids: blocks of whole documents (about 65,536 tokens, more if one document
+    is longer), each with the documents' ids and token counts, its own bit stream, the bit
+    offset of every 256th token, and how many tokens of its shard come before it.  Shard and
+    place give the order.  ``ids`` holds the plain ids that the counts are taken from and that
+    the blocks are made of; it is not needed any more once the blocks are there.
 
-    Texts are encoded twice, once to count and once to write, because that moves less than
-    storing the ids in between.  The tables of a vocabulary have a fixed size: counts are
-    gathered and code lengths broadcast.  Tasks hold a few MB of text and one block.
+    Texts are shuffled once, into ranges of document ids.  The tables of a vocabulary have a
+    fixed size: counts are gathered and code lengths broadcast.  Tasks hold a few MB of text
+    and one block.
 
     Defined results: NULL counts as the empty text, which has the end id alone; NULL ids come
     first; repeated ids are neighbours, in the order of a hash of their texts; an empty table
@@ -206,51 +269,31 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str | None =
     folder = folder or shared_folder(spark, "tokens")
     with open(tokenizer_file, "rb") as f:
         content = spark.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    found = id_counts(rows, content, end).collect()
+    kind = WordTokenizer(content.value).kind
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")) \
+        .withColumn("_h", F.xxhash64("text"))
+    (rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h").select("doc_id", "text")
+     .mapInArrow(_tokenise(content, end), STORED).write.option("compression", "zstd").parquet(f"{folder}/ids"))
+    stored = spark.read.schema(STORED).parquet(f"{folder}/ids")
+    found = stored.select("ids").mapInArrow(_count_ids(kind), "id long, n long") \
+        .groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in found), default=0) + 1, np.int64)
     for r in found:
         counts[r["id"]] = r["n"]
-    spark.createDataFrame([(bytearray(code_lengths(counts).tobytes()),)], "lengths binary") \
-        .write.parquet(f"{folder}/codebook")
-    lengths = _code_lengths(spark, folder)
-
-    def work(batches):
-        tokenizer, codebook = _tokenizer(content), Codebook(np.frombuffer(lengths, np.uint8))
-        shard = TaskContext.get().partitionId()
-
-        def documents():
-            for batch in batches:
-                for part in slices_of(batch, "text", 2 << 20):
-                    data, at = utf8_of(part.column("text"))
-                    texts = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                    yield from zip(part.column("doc_id").to_pylist(), tokenizer.ids_of(texts, end))
-
-        for number, (doc_ids, sizes, bits, checkpoints) in enumerate(_blocks(documents(), codebook)):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([shard], pa.int32()), pa.array([number], pa.int32()),
-                pa.array([doc_ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
-                pa.array([checkpoints], pa.binary()), pa.array([bits], pa.binary()),
-            ], names=[part.split()[0] for part in BLOCKS.split(", ")])
-
-    placed = rows.withColumn("_h", F.xxhash64("text"))
-    (placed.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h")
-     .select("doc_id", "text").mapInArrow(work, BLOCKS).write.parquet(f"{folder}/blocks"))
+    lengths = code_lengths(counts).tobytes()
+    spark.createDataFrame([(bytearray(lengths),)], "lengths binary").write.parquet(f"{folder}/codebook")
+    stored.mapInArrow(_encode_blocks(lengths, kind), BLOCKS).write.parquet(f"{folder}/blocks")
     return folder
 
 
-def _code_lengths(spark: SparkSession, folder: str) -> bytes:
-    return bytes(spark.read.parquet(f"{folder}/codebook").first()["lengths"])
-
-
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) from the files: ``start`` counts the ids of all documents
     before this one, ``ids`` are little-endian unsigned 32-bit integers.
 
-    Blocks are decoded independently of each other.  The ids before a block follow from the
-    blocks' token counts: summed per shard, then over the shards (as many as write tasks).
+    Blocks are decoded independently of each other.  A block knows the ids before it in its
+    shard; the ids before a shard are summed over the shards (as many as tasks that wrote).
     """
-    lengths = _code_lengths(spark, folder)
+    lengths = bytes(spark.read.parquet(f"{folder}/codebook").first()["lengths"])
 
     def work(batches):
         codebook = Codebook(np.frombuffer(lengths, np.uint8))
@@ -258,30 +301,21 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
             for part in slices_of(batch, "bits", 1 << 20):
                 sizes = part.column("lengths").to_pylist()
                 blocks = codebook.decode(part.column("bits").to_pylist(), part.column("checkpoints").to_pylist(),
-                                         [sum(s) for s in sizes])
+                                         part.column("tokens").to_pylist())
                 rows = []
-                for shard, block, docs, own, ids in zip(
-                        part.column("shard").to_pylist(), part.column("block").to_pylist(),
+                for shard, base, docs, own, ids in zip(
+                        part.column("shard").to_pylist(), part.column("before").to_pylist(),
                         part.column("doc_ids").to_pylist(), sizes, blocks):
                     flat, before = ids.astype("<u4").tobytes(), 0
                     for doc_id, n in zip(docs, own):
-                        rows.append((shard, block, doc_id, before, n, flat[4 * before:4 * (before + n)]))
+                        rows.append((shard, doc_id, base + before, n, flat[4 * before:4 * (before + n)]))
                         before += n
-                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                 names=[p.split()[0] for p in DECODED.split(", ")])
+                yield _rows(zip(*rows), DECODED)
 
     blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
-    held = blocks.select("shard", "block", F.aggregate(
-        "lengths", F.lit(0).cast("bigint"), lambda a, n: a + n).alias("n"))
-    shards = held.groupBy("shard").agg(F.sum("n").alias("n")).select(
-        F.col("shard").alias("_shard"),
-        F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_base"))
-    starts = held.join(shards, F.col("shard") == F.col("_shard")).select(
-        F.col("shard").alias("_s"), F.col("block").alias("_b"), (F.col("_base") + F.coalesce(F.sum("n").over(
-            Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0))).alias("_start"))
-    docs = blocks.mapInArrow(work, DECODED)
-    return docs.join(starts, (F.col("shard") == F.col("_s")) & (F.col("block") == F.col("_b"))).select(
-        "doc_id", (F.col("_start") + F.col("before")).alias("start"), "n_tokens", "ids")
+    shards = blocks.groupBy(F.col("shard").alias("_shard")).agg(F.sum("tokens").alias("n"))
+    earlier = Window.orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
+    bases = materialise(shards.select("_shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_base")), "shards")
+    return blocks.drop("place").mapInArrow(work, DECODED).join(
+        broadcast_if_small(bases), F.col("shard") == F.col("_shard")).select(
+        "doc_id", (F.col("_base") + F.col("before")).alias("start"), "n_tokens", "ids")
