@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm.arrow import slices_of, utf8_of
+from tallyspark.llm.shared import broadcast_if_small, materialise
 
 ORDER = 3
 GAP = b"\n" * ORDER
@@ -24,15 +25,16 @@ def held_out(key: Column) -> Column:
 def training_sample(docs: DataFrame, per_language: int, key: str, text: str, lang: str) -> DataFrame:
     """At most ``per_language`` labelled documents of each language, by a seeded hash.
 
-    Rows are thinned by a threshold on the hash first, so the ranking sees few of them.
+    Rows are thinned by a threshold on the hash first, where they are read: only the few left
+    are shuffled and ranked.
     """
     labelled = docs.filter(~held_out(F.col(key)) & F.col(key).isNotNull() & F.col(text).isNotNull()
                            & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"),
         F.pmod(F.xxhash64(F.lit("languages"), F.col(key)), F.lit(1 << 40)).alias("_h"))
-    counts = labelled.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_of"))
+    counts = materialise(labelled.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_of")), "languages")
     share = F.lit(float(1 << 40)) * (1.5 * per_language + 50) / F.col("_of")
-    thin = labelled.join(counts, F.col("lang") == F.col("_lang")).filter(F.col("_h") < share)
+    thin = labelled.join(broadcast_if_small(counts), F.col("lang") == F.col("_lang")).filter(F.col("_h") < share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "text"))
     return thin.withColumn("_rank", rank).filter(F.col("_rank") <= per_language).select("lang", "text")
 
