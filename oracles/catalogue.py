@@ -928,6 +928,15 @@ def months(keys=()):
             f"FROM ft GROUP BY ALL)")
 
 
+def cells(back, keys=()):
+    """Months with figures of their own or of ``back`` months before, up to the last month."""
+    shown = "".join(f"{k}, " for k in keys)
+    return f"""(SELECT {shown}m, max(revenue) AS revenue, max(transactions) AS transactions FROM (
+    SELECT * FROM {months(keys)} UNION ALL
+    SELECT {shown}CAST(m + INTERVAL {back} MONTH AS DATE), NULL, NULL FROM {months(keys)})
+  WHERE m <= (SELECT CAST(date_trunc('month', max(date)) AS DATE) FROM ft) GROUP BY {shown}m)"""
+
+
 def growth(now, then):
     return (f"coalesce((CAST(coalesce({now}, 0) AS DOUBLE) - CAST({then} AS DOUBLE)) "
             f"/ nullif(CAST({then} AS DOUBLE), 0) * 100, 0)")
@@ -940,7 +949,7 @@ def shifted(back, suffix, grown, keys=()):
   c.transactions, CAST(p.revenue AS DOUBLE) AS revenue_{suffix},
   p.transactions AS transactions_{suffix}, {growth('c.revenue', 'p.revenue')} AS revenue_{grown},
   {growth('c.transactions', 'p.transactions')} AS transactions_{grown}
-  FROM {months(keys)} c LEFT JOIN {months(keys)} p
+  FROM {cells(back, keys)} c LEFT JOIN {months(keys)} p
   ON p.m = CAST(c.m - INTERVAL {back} MONTH AS DATE){same}"""
 
 
@@ -988,12 +997,39 @@ SQL["ti_13_14_cumulative_by_day"] = to_date(["cumulative_revenue", "cumulative_t
 SQL["ti_9_14_by_day_and_platform"] = to_date(
     ["revenue_ytd", "transactions_ytd", "revenue_qtd", "revenue_mtd", "cumulative_revenue",
      "cumulative_transactions"], ["platform"])
-SQL["ti_9_10_year_to_date_by_month"] = f"""SELECT CAST(d AS VARCHAR) AS month_start,
-  CAST({running('revenue', 'year(d)')} AS DOUBLE) AS revenue_ytd,
-  CAST({running('transactions', 'year(d)')} AS BIGINT) AS transactions_ytd,
-  CAST({running('revenue')} AS DOUBLE) AS cumulative_revenue,
-  CAST({running('transactions')} AS BIGINT) AS cumulative_transactions
-  FROM (SELECT m AS d, revenue, transactions FROM {months()})"""
+
+
+def to_month(keys=(), where="TRUE"):
+    """Running figures at the end of every month of every label."""
+    shown = "".join(f"{k}, " for k in keys)
+    same = "".join(f" AND s.{k} = x.{k}" for k in keys)
+    picked = f"(SELECT * FROM ft WHERE {where})"
+    labels = f", (SELECT DISTINCT {', '.join(keys)} FROM {picked}) l" if keys else ""
+    inside = "year(d)" + "".join(f", {k}" for k in keys)
+
+    def over(parts):
+        return f"OVER (PARTITION BY {parts} {RUN})" if parts else f"OVER ({RUN})"
+
+    whole = over(", ".join(keys))
+    return f"""SELECT {shown}CAST(d AS VARCHAR) AS month_start,
+  CAST(sum(revenue) {over(inside)} AS DOUBLE) AS revenue_ytd,
+  CAST(sum(transactions) {over(inside)} AS BIGINT) AS transactions_ytd,
+  CAST(sum(revenue) {over(inside + ', quarter(d)')} AS DOUBLE) AS revenue_qtd,
+  CAST(revenue AS DOUBLE) AS revenue_mtd,
+  CAST(sum(revenue) {whole} AS DOUBLE) AS cumulative_revenue,
+  CAST(sum(transactions) {whole} AS BIGINT) AS cumulative_transactions
+  FROM (SELECT {"".join(f"s.{k}, " for k in keys)}s.d, revenue, transactions FROM
+    (SELECT {shown}CAST(d AS DATE) AS d FROM (SELECT unnest(generate_series(
+       (SELECT date_trunc('month', min(date)) FROM {picked})::TIMESTAMP,
+       (SELECT date_trunc('month', max(date)) FROM {picked})::TIMESTAMP,
+       INTERVAL 1 MONTH)) AS d){labels}) s
+    LEFT JOIN (SELECT {shown}CAST(date_trunc('month', date) AS DATE) AS d,
+       sum(amount) FILTER (WHERE {OK}) AS revenue, count(*) AS transactions
+       FROM {picked} GROUP BY ALL) x ON s.d = x.d{same})"""
+
+
+SQL["ti_9_10_year_to_date_by_month"] = to_month()
+SQL["ti_9_14_by_month_and_method"] = to_month(["payment_method"], "status = 'Success' AND amount > 200")
 
 # --------------------------------------------------------------------------- visuals
 MONTH_YEAR = "strftime(date, '%b %Y') AS month_year"

@@ -37,8 +37,15 @@ def month_shift(months: DataFrame, back: int, suffix: str, growth_suffix: str, k
     """Each month with the figures of the month ``back`` months earlier.
 
     A range frame over the running month number finds exactly that month, so a month
-    missing from the data gives NULL, never the last one present.
+    missing from the data gives NULL, never the last one present.  A label without rows in a
+    month still has a line there if it has earlier figures to show, up to the last month of
+    the whole table.
     """
+    last = months.agg(F.max("month_start")).scalar()
+    later = months.select(*keys, F.add_months("month_start", back).alias("month_start"),
+                          *[F.lit(None).cast(months.schema[n].dataType).alias(n) for n in FIGURES])
+    months = months.unionByName(later.filter(F.col("month_start") <= last)) \
+        .groupBy(*keys, "month_start").agg(*[F.max(n).alias(n) for n in FIGURES])
     number = F.year("month_start") * 12 + F.month("month_start")
     frame = Window.partitionBy(*keys).orderBy(number).rangeBetween(-back, -back)
     out = months
@@ -64,27 +71,27 @@ def day_shift(days: DataFrame, back: int, suffix: str, keys=()) -> DataFrame:
     )
 
 
-def calendar_fill(days: DataFrame, keys=()) -> DataFrame:
-    """One row per day from the first to the last date of the whole table, per label.
+def calendar_fill(rows: DataFrame, keys=(), column="date") -> DataFrame:
+    """One row per day (or month, by ``column``) from the first to the last of the whole
+    table, per label.
 
-    Each day row is stretched up to the day before the next one (and the first row of
-    a label back to the start), so the gaps appear without a join.  The figures stay on
-    their own day; filled days hold NULL.
+    Each row is stretched up to the one before the next (and the first row of a label back to
+    the start), so the gaps appear without a join.  The figures stay on their own row; filled
+    rows hold NULL.  The ends of the table are one-row aggregates.
     """
-    label = Window.partitionBy(*keys).orderBy("date")
-    whole = Window.partitionBy()
-    spread = days.withColumns({
-        "_next": F.lead("date").over(label),
-        "_first": F.lag("date").over(label).isNull(),
-        "_lo": F.min("date").over(whole),
-        "_hi": F.max("date").over(whole),
+    label = Window.partitionBy(*keys).orderBy(column)
+    spread = rows.withColumns({
+        "_next": F.lead(column).over(label),
+        "_first": F.lag(column).over(label).isNull(),
     })
-    start = F.when(F.col("_first"), F.col("_lo")).otherwise(F.col("date"))
-    end = F.coalesce(F.date_sub("_next", 1), F.col("_hi"))
-    spread = spread.withColumn("_day", F.explode(F.sequence(start, end)))
-    own = F.col("_day") == F.col("date")
+    low, high = rows.agg(F.min(column)).scalar(), rows.agg(F.max(column)).scalar()
+    start = F.when(F.col("_first"), low).otherwise(F.col(column))
+    before = F.date_sub("_next", 1) if column == "date" else F.add_months("_next", -1)
+    step = F.expr("INTERVAL 1 DAY" if column == "date" else "INTERVAL 1 MONTH")
+    spread = spread.withColumn("_at", F.explode(F.sequence(start, F.coalesce(before, high), step)))
+    own = F.col("_at") == F.col(column)
     return spread.select(
-        *keys, F.col("_day").alias("date"), *[F.when(own, F.col(n)).alias(n) for n in FIGURES]
+        *keys, F.col("_at").alias(column), *[F.when(own, F.col(n)).alias(n) for n in FIGURES]
     )
 
 
@@ -111,9 +118,10 @@ def to_date_totals(t: DataFrame, keys=()) -> DataFrame:
 
 
 def month_to_date_totals(t: DataFrame, keys=()) -> DataFrame:
-    """The same running figures read at the end of each month that occurs."""
-    months = monthly(t, keys)
-    year = F.year("month_start")
+    """The same running figures read at the end of every month, for every label: a label
+    without rows in a month carries its figures on."""
+    months = calendar_fill(monthly(t, keys), keys, "month_start")
+    year, quarter = F.year("month_start"), F.quarter("month_start")
 
     def running(name, *parts):
         frame = Window.partitionBy(*keys, *parts).orderBy("month_start").rowsBetween(
@@ -125,6 +133,8 @@ def month_to_date_totals(t: DataFrame, keys=()) -> DataFrame:
         *keys, "month_start",
         running("revenue", year).cast("double").alias("revenue_ytd"),
         running("transactions", year).alias("transactions_ytd"),
+        running("revenue", year, quarter).cast("double").alias("revenue_qtd"),
+        F.col("revenue").cast("double").alias("revenue_mtd"),
         running("revenue").cast("double").alias("cumulative_revenue"),
         running("transactions").alias("cumulative_transactions"),
     )

@@ -588,6 +588,8 @@ query("ti_5_8_year_over_year")(lambda i: timeintel.month_shift(
 query("ti_9_12_to_date_by_day")(lambda i: timeintel.to_date_totals(i.stripped).select(
     "date", "revenue_ytd", "transactions_ytd", "revenue_qtd", "revenue_mtd"))
 query("ti_9_10_year_to_date_by_month")(lambda i: timeintel.month_to_date_totals(i.stripped))
+query("ti_9_14_by_month_and_method")(lambda i: timeintel.month_to_date_totals(
+    i.stripped.filter("status = 'Success' AND amount > 200"), ["payment_method"]))
 query("ti_13_14_cumulative_by_day")(lambda i: timeintel.to_date_totals(i.stripped).select(
     "date", "cumulative_revenue", "cumulative_transactions"))
 query("ti_9_14_by_day_and_platform")(lambda i: timeintel.to_date_totals(

@@ -82,3 +82,15 @@ def test_quantiles_match_brute_force_across_ranges(spark):
 def test_a_single_value(spark):
     row = quantiles.numeric_profile(transactions(spark, {"amount": "7"}), "amount").first()
     assert (row.q25, row.q50, row.q75, row.std) == (7.0, 7.0, 7.0, None)
+
+
+def test_a_label_without_rows_keeps_its_earlier_figures(spark):
+    t = transactions(spark, {"platform": "A", "amount": "100", "transaction_datetime": datetime(2024, 1, 5)},
+                     {"platform": "B", "amount": "70", "transaction_datetime": datetime(2024, 2, 5)})
+    shifted = timeintel.month_shift(timeintel.monthly(t, ["platform"]), 1, "pm", "mom_pct", ["platform"])
+    rows = {(r.platform, r.month_start.month): r for r in shifted.collect()}
+    assert set(rows) == {("A", 1), ("A", 2), ("B", 2)}
+    gap = rows["A", 2]
+    assert gap.revenue is None and float(gap.revenue_pm) == 100 and gap.revenue_mom_pct == -100
+    carried = {(r.platform, r.month_start.month): r for r in timeintel.month_to_date_totals(t, ["platform"]).collect()}
+    assert carried["A", 2].revenue_ytd == 100 and carried["A", 2].revenue_mtd is None
