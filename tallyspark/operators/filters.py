@@ -47,7 +47,17 @@ def _literal(day) -> Column:
 
 
 def apply_filters(e: DataFrame, **chosen) -> DataFrame:
-    return e.filter(selection(**chosen))
+    """The selected rows.  In a table stored by month the date range is put on the month
+    folders, too, so that other months are not read."""
+    kept = e.filter(selection(**chosen))
+    if "txn_month" in e.columns:
+        ends = [chosen.get("date_from"), chosen.get("date_to")]
+        if None not in ends and not any(isinstance(d, Column) for d in ends):
+            ends.sort()
+        for day, inside in zip(ends, (F.col("txn_month").__ge__, F.col("txn_month").__le__)):
+            if day is not None:
+                kept = kept.filter(inside(F.date_format(_literal(day).cast("date"), "yyyy-MM")))
+    return kept
 
 
 def preset(name: str, presets=None) -> dict:

@@ -16,7 +16,7 @@ from tallyspark.functions.measures import (
 )
 from tallyspark.functions.derive import TS
 from tallyspark.operators.aggregate import Dimension, Report, Share, run
-from tallyspark.operators.filters import selection
+from tallyspark.operators.filters import apply_filters
 from tallyspark.operators.star import DATE_ATTRIBUTES, KEYS
 
 _N = rows("total_transactions")
@@ -146,8 +146,8 @@ def visual_query(star: dict, dims=(), measures=(), filters=None, where=None,
     for attribute, values in (filters or {}).items():
         table, _, column = attribute.rpartition(".")
         if dated and table == "dim_date" and (column == "date" or column in DATE_ATTRIBUTES):
-            fact = fact.filter(_on_dates(values) if column == "date" else
-                               _wanted(DATE_ATTRIBUTES[column](TS), values))
+            fact = _on_dates(fact, values) if column == "date" else \
+                fact.filter(_wanted(DATE_ATTRIBUTES[column](TS), values))
     rest = {a: v for a, v in (filters or {}).items() if not (dated and a.startswith("dim_date."))}
     return run(report, fact, [d for _, d in dimensions], _restrictions(star, rest))
 
@@ -156,11 +156,12 @@ def _date_key(column):
     return lambda: DATE_ATTRIBUTES[column](TS)
 
 
-def _on_dates(values):
+def _on_dates(fact, values):
     """A date filter; a range is put on the timestamp itself, so it reaches the scan."""
+    days = [F.lit(v).cast("date") for v in values]
     if isinstance(values, tuple):
-        return selection(*[F.lit(v).cast("date") for v in values])
-    return F.to_date(TS).isin([F.lit(v).cast("date") for v in values])
+        return apply_filters(fact, date_from=days[0], date_to=days[1])
+    return fact.filter(F.to_date(TS).isin(days))
 
 
 def _wanted(column, values):

@@ -69,8 +69,12 @@ def year_month_label(ts="transaction_datetime"):
     return F.date_format(ts, "yyyy MMM")
 
 
-def load_star(spark: SparkSession, folder: str, form="csv") -> dict:
-    """The six star tables from one folder, with their declared types."""
+def load_star(spark: SparkSession, folder: str, form="csv", months=False) -> dict:
+    """The six star tables from one folder, with their declared types.
+
+    With ``months`` the Parquet fact keeps ``txn_month``, the month it is stored by, so that
+    date filters skip the folders of other months.
+    """
     out = {}
     for name, schema in schemas.STAR_TABLES.items():
         path = f"{folder}/{name}"
@@ -78,5 +82,6 @@ def load_star(spark: SparkSession, folder: str, form="csv") -> dict:
             out[name] = _csv(spark, path, schema)
         else:
             table = spark.read.parquet(path)
-            out[name] = table.select(*[c for c in schema.fieldNames() if c in table.columns])
+            columns = [*schema.fieldNames(), *(["txn_month"] if months else [])]
+            out[name] = table.select(*[c for c in columns if c in table.columns])
     return out

@@ -1,9 +1,9 @@
-from datetime import datetime
+from datetime import date, datetime
 
 from tallyspark import schemas
 from tallyspark.__main__ import main
 from tallyspark.functions.derive import add_row_features
-from tallyspark.operators import clean, users
+from tallyspark.operators import clean, filters, users
 from tallyspark.operators.star import build_star
 from tallyspark.sources import readers, writers
 from tallyspark.streaming import intake
@@ -95,3 +95,14 @@ def test_command_line(spark, tmp_path):
     assert readers.load_star(spark, f"{tmp_path}/s", "parquet")["dim_users"].count() == 1
     main(["report", "sql_1a_overall_success", *inputs, "--out", f"{tmp_path}/r"], spark)
     assert spark.read.parquet(f"{tmp_path}/r").first().total_transactions == 3
+
+
+def test_date_filters_skip_months(spark, tmp_path):
+    t = transactions(spark, *[{"transaction_datetime": datetime(2024, m, 5, 12)} for m in (1, 2, 3)])
+    writers.write_by_month(t, f"{tmp_path}/t")
+    for ends in ({"date_from": date(2024, 2, 1), "date_to": date(2024, 2, 29)}, {"date_from": date(2024, 3, 1)},
+                 {"date_to": date(2024, 1, 31)}, {"date_from": date(2024, 2, 29), "date_to": date(2024, 2, 1)}):
+        january = filters.apply_filters(readers.read_enriched(spark, f"{tmp_path}/t"), **ends)
+        assert january.count() == 1
+        plan = january._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(txn_month" in plan
