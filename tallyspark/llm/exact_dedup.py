@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.arrow import utf8_of
+from tallyspark.llm.arrow import slices_of, utf8_of
 from tallyspark.llm.shared import kept_rows, materialise, row_hash
 
 # The letters that the comparison lower-cases.
@@ -20,13 +20,14 @@ RESOLVED = "ref long, keep_id long, group_size long, text_sha256 string"
 
 
 def _local_entries(batches):
-    """Every row, pointing (``ref``) at one index entry per different text of its batch.
+    """Every row, pointing (``ref``) at one index entry per different text of its part of a
+    batch (16 MB of text, or one longer text).
 
-    Rows that found their text in the batch carry no body: a text with very many copies is
-    stored once per batch.  Equality is equality of bytes; the hash only finds candidates.
+    Rows that found their text in the part carry no body: a text with very many copies is
+    stored once per part.  Equality is equality of bytes; the hash only finds candidates.
     """
     counter = TaskContext.get().partitionId() << 40
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices_of(whole, "text", 16 << 20)):
         data, at = utf8_of(batch.column("text"))
         data = data.translate(LOWER)
         chains, entries, refs = {}, [], []
