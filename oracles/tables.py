@@ -6,6 +6,7 @@ mistake on one side shows as a difference.
 
 import re
 
+# Label lists, thresholds and band bounds have to equal those of the catalogue.
 CTES = {
     "transactions": """
 SELECT k AS transaction_id, o_custkey AS user_id, transaction_datetime,

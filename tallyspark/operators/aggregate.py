@@ -140,9 +140,11 @@ def _side(dimension, borrowed):
 def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
     links = list(dict.fromkeys(d.key for d in used))
     counted = [t for t in terms if not t.additive]
-    # A distinct count is not additive: keep its column until the last step.
-    held = {t: t.value if t.value in links else f"_d{i}" for i, t in enumerate(counted)}
-    rows = rows.withColumns({c: F.expr(t.value) for t, c in held.items() if c not in links})
+    # Distinct values are not additive: keep their column (NULL outside the term's condition,
+    # which no distinct count or set takes in) until the last step.
+    held = {t: t.value if t.value in links and not t.where else f"_d{i}" for i, t in enumerate(counted)}
+    rows = rows.withColumns({c: F.expr(f"CASE WHEN {t.where} THEN {t.value} END" if t.where else t.value)
+                             for t, c in held.items() if c not in links})
     additive = [t for t in terms if t.additive]
     marker = [] if additive else [F.count(F.lit(1)).alias("_n")]
     reduced = rows.groupBy(*dict.fromkeys([*own_columns, *links, *held.values()])).agg(
@@ -157,7 +159,8 @@ def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
         if t.additive:
             outputs.append(t.again(names[t]).alias(names[t]))
         else:
-            outputs.append(F.count_distinct(held[t]).alias(names[t]))
+            merge = F.collect_set if t.kind == "labels" else F.count_distinct
+            outputs.append(merge(held[t]).alias(names[t]))
     return reduced.groupBy(*own_columns, *[f"_k{i}" for i, _ in borrowed]).agg(*outputs)
 
 

@@ -200,6 +200,7 @@ def report(name: str, transactions: DataFrame, profiles: DataFrame | None = None
     return run(REPORTS[name], transactions)
 
 
+# The columns of the view, in its order.
 CLEAN_VIEW = [
     "transaction_id", "user_id", "transaction_datetime", "txn_date", "txn_hour", "day_of_week",
     "txn_month", "month_name", "txn_quarter", "payment_method", "category", "merchant",

@@ -254,3 +254,15 @@ def test_a_hot_user_is_split(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_labels_and_filtered_distincts_with_a_borrowed_key(spark):
+    from tallyspark.functions.measures import Measure, labels
+
+    t = transactions(spark, *[{"user_id": f"USR{i % 4}", "status": "Success" if i % 3 else "Failed",
+                               "payment_method": "UPI" if i % 2 else "Card"} for i in range(24)])
+    u = profiles(spark, *[{"user_id": f"USR{i}", "customer_tier": "VIP" if i % 2 else "New"} for i in range(4)])
+    measures = (labels("m", "payment_method"), Measure("ok", Term("distinct", "user_id", OK)))
+    got = run(Report(("customer_tier",), measures), t, [Dimension(profile_columns(u), "user_id")])
+    want = run(Report(("customer_tier",), measures), t.join(profile_columns(u), "user_id"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 2
