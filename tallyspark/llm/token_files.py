@@ -2,6 +2,7 @@
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from tallyspark.sources.writers import shared_folder
 MAX_BITS = 16
 BLOCK_TOKENS = 1 << 16
 CHECKPOINT_TOKENS = 256
-CACHED_WORDS = 350_000
+CACHED_WORDS = 450_000
 CACHED_LENGTH = 64
 
 STORED = "shard int, place long, doc_id long, before long, n_tokens int, ids binary"
@@ -42,7 +43,8 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_str(content.decode())
         self.library.encode_special_tokens = True
-        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        small = self.library.get_vocab_size() <= 1 << 16
+        self.kind, self.code = ("<u2", "H") if small else ("<u4", "I")
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -50,11 +52,10 @@ class WordTokenizer:
         """Puts the ids of new words into the newer generation."""
         known, older = self.words, self.older
         tails, new = {}, []
-        for word in missing:
-            ids = older.get(word)
-            if ids is not None:
-                known[word] = ids
-            elif (match := TAIL.search(word)) is not None:
+        again = missing & older.keys()
+        known.update((w, older[w]) for w in again)
+        for word in missing - again:
+            if (match := TAIL.search(word)) is not None:
                 tails[word] = word[:match.end(1)], match[2]
             else:
                 new.append(word)
@@ -65,7 +66,7 @@ class WordTokenizer:
             else:
                 new.append(part)
         found = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(new, found))
+        known.update(zip(new, [array(self.code, e.ids).tobytes() for e in found]))
         for word, (core, tail) in tails.items():
             known[word] = known[core] + known[tail]
 
@@ -76,7 +77,7 @@ class WordTokenizer:
             self.older = {w: ids for w, ids in self.words.items() if len(w) <= CACHED_LENGTH}
             self.words = {}
         known = self.words
-        missing = {w for words in split for w in words if w not in known}
+        missing = set().union(*split).difference(known)
         if missing:
             self._learn(missing)
         last = np.array([end], self.kind).tobytes()
@@ -194,7 +195,7 @@ def _tokenise(content, end: int):
         tokenizer, shard = _tokenizer(content), TaskContext.get().partitionId()
         size, place, before = int(tokenizer.kind[-1]), 0, 0
         for batch in batches:
-            for part in slices_of(batch, "text", 2 << 20):
+            for part in slices_of(batch, "text", 4 << 20):
                 data, at = utf8_of(part.column("text"))
                 texts = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 ids = tokenizer.ids_of(texts, end)
