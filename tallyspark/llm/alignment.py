@@ -45,15 +45,27 @@ def _band(pairs, cap, width):
     return result
 
 
+def least_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound of the edit distance: the longer length less the items in common.
+
+    Items are counted in bins by their low bits; two items in one bin only lower the bound.
+    """
+    most = max(len(a), len(b))
+    bins = 1 << max(8, (4 * most).bit_length())
+    common = np.minimum(np.bincount(a & (bins - 1), minlength=bins), np.bincount(b & (bins - 1), minlength=bins))
+    return most - int(common.sum())
+
+
 def edit_distances(pairs: list[tuple[np.ndarray, np.ndarray]], caps: list[int]) -> np.ndarray:
     """The edit distance of each pair of integer sequences, or FAR where it exceeds its cap.
 
-    Bands start narrow and are widened for the pairs that need it, up to their cap, so close
-    pairs cost little.  A distance inside its band is exact.
+    Pairs with too few items in common are told apart without an alignment.  Bands start
+    narrow and are widened for the pairs that need it, up to their cap, so close pairs cost
+    little.  A distance inside its band is exact.
     """
     result = np.full(len(pairs), FAR, np.int64)
     caps = np.array(caps, np.int64)
-    todo = [p for p in range(len(pairs)) if abs(len(pairs[p][0]) - len(pairs[p][1])) <= caps[p]]
+    todo = [p for p in range(len(pairs)) if least_distance(*pairs[p]) <= caps[p]]
     width = 16
     while todo:
         todo.sort(key=lambda p: len(pairs[p][0]))

@@ -174,14 +174,16 @@ def components(edges: DataFrame) -> DataFrame:
         edges = materialise(small.union(low.select("u", "m")).distinct(), "small-star")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, sketches: int = 16,
-                    kept: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, sketches: int = 40,
+                    kept: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id, kept, n_words): classes of near-duplicate documents.
 
     Two texts are linked when their words (blank-separated, ASCII letters in lower case) have an
     edit similarity, 1 - distance / length of the longer, of ``similarity`` or more.  Texts with
     equal words are one node.  Candidates share one of ``sketches`` Order MinHash values: the
-    ``kept`` smallest occurrence-labelled k-mers of ``gram`` words, in text order.  A class is a
+    ``kept`` smallest occurrence-labelled k-mers of ``gram`` words, in text order; three at once
+    seldom lie in a passage that texts merely share, and many values make up for that (texts
+    with half of their k-mers in common miss each other with a chance of 1 in 200).  A class is a
     connected component of links; its id is the smallest document id in it, whose row stays.
 
     Within a bucket every node is aligned with the bucket's first node, not with every other.
@@ -200,7 +202,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, ske
     sketched = materialise(rows.mapInArrow(_sketch(gram, sketches, kept), SKETCHED), "sketches")
     nodes = materialise(sketched.filter(F.col("sketch").isNotNull()).select("content", "n_words", "sketch")
                         .dropDuplicates(["content"]).withColumn("node", F.monotonically_increasing_id()), "nodes")
-    bands = materialise(nodes.select("node", F.col("n_words").alias("n"), F.explode("sketch").alias("bucket")), "bands")
+    bands = nodes.select("node", F.col("n_words").alias("n"), F.explode("sketch").alias("bucket"))
     leaders = materialise(bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("_size"))
                           .filter("_size > 1").select("bucket", "leader"), "leaders")
     members = materialise(bands.join(leaders, "bucket"), "members")
@@ -242,8 +244,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, ske
                               & (F.col("least") - F.col("_most") <= room) & (F.col("_least") - F.col("most") <= room)
                               & ((F.col("least") > 0) & (F.col("_least") > 0))) \
         .select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct()
-    later = distances(rest, words, 1 - similarity).filter(F.col("distance") < FAR).select("a", "b")
-    roots = components(linked.union(later))
+    later = materialise(distances(rest, words, 1 - similarity).filter(F.col("distance") < FAR).select("a", "b"), "later")
+    if later.limit(1).count():
+        roots = components(linked.union(later))
 
     named = nodes.select("content", "node").join(roots, "node", "left") \
         .select(F.col("content"), F.coalesce("root", "node").alias("root"))
