@@ -1,5 +1,7 @@
 """Near-duplicates by Order MinHash, verified by banded alignment."""
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -13,10 +15,13 @@ from tallyspark.llm.substring_dedup import mixed, polynomial, window_hashes, wor
 
 GRAM_BASE = 0xD6E8FEB86659FD93
 PLACE_BITS = 24
+CROWD = 128
+ITEM_BINS = 1 << 16
 
 SKETCHED = "doc_id long, row_hash long, content binary, n_words int, sketch array<long>"
 WORDS = "content binary, words binary"
 DISTANCES = "a long, b long, distance long"
+RARE = "_node long, items array<long>"
 
 
 def _first_of_each(batch: pa.RecordBatch):
@@ -92,7 +97,45 @@ def order_min_hashes(grams: np.ndarray, edges: np.ndarray, sketches: int, kept:
     return out
 
 
-def _sketch(gram: int, sketches: int, kept: int):
+def allowed(size: int, share: float) -> int:
+    """The largest distance of a link whose longer text has ``size`` words."""
+    return int(share * size + 1e-9)
+
+
+@lru_cache(256)
+def _segments(size: int, longest: int, share: float) -> tuple[tuple[int, int], ...]:
+    """(segment length, segments) of the texts of ``size`` to ``longest`` words that a text of
+    ``size`` words can be linked with."""
+    found = {}
+    for other in range(size, longest + 1):
+        edits = allowed(other, share)
+        if edits and other - edits <= size:
+            length = other // (edits + 1)
+            found[length] = max(found.get(length, 0), edits + 1)
+    return tuple(found.items())
+
+
+def segment_keys(words: np.ndarray, longest: int, share: float) -> np.ndarray:
+    """Keys of a text; two texts of at most ``longest`` words that are linked share one.
+
+    The longer one starts with edits + 1 segments of one length.  Take the first segment up to
+    which there are no more edits than segments before it: it has none itself and exactly as
+    many before it as its number, so it is in the other text, moved by no more than that.
+    """
+    keys = [np.zeros(0, np.uint64)]
+    for length, segments in _segments(len(words), longest, share):
+        if length > len(words):
+            continue
+        grams = np.zeros(len(words) - length + 1, np.uint64)
+        for i in range(length):
+            grams = mixed(grams * np.uint64(GRAM_BASE) + words[i:i + len(grams)])
+        for number in range(segments):
+            near = grams[max(0, length * number - number):length * number + number + 1]
+            keys.append(mixed(near + mixed(np.array([length << 32 | number << 1 | 1], np.uint64))))
+    return np.unique(np.concatenate(keys))
+
+
+def _sketch(gram: int, sketches: int, kept: int, short: int, share: float):
     def work(batches):
         for batch in batches:
             for part in slices_of(batch, "text", 2 << 20):
@@ -100,13 +143,16 @@ def _sketch(gram: int, sketches: int, kept: int):
                 words, before = word_hashes(data, at)
                 values = order_min_hashes(*_grams(words, before, gram), sketches, kept).view(np.int64)
                 counts = np.diff(before)
+                values = [v if 0 < n else v[:0] for v, n in zip(values, counts)]
+                for i in np.flatnonzero((counts > 0) & (counts <= short)).tolist():
+                    keys = segment_keys(words[before[i]:before[i + 1]], short, share)
+                    values[i] = np.concatenate([values[i], keys.view(np.int64)])
                 where = {row: i for i, row in enumerate(rows)}
                 places = [where.get(row) for row in range(len(contents))]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), part.column("row_hash"), pa.array(contents, pa.binary()),
                     pa.array([None if i is None else int(counts[i]) for i in places], pa.int32()),
-                    pa.array([None if i is None else values[i] if counts[i] else [] for i in places],
-                             pa.list_(pa.int64())),
+                    pa.array([None if i is None else values[i] for i in places], pa.list_(pa.int64())),
                 ], names=[p.split()[0] for p in SKETCHED.split(", ")])
 
     return work
@@ -150,6 +196,45 @@ def distances(pairs: DataFrame, words: DataFrame, reach: float) -> DataFrame:
         .mapInArrow(_align(reach), DISTANCES)
 
 
+def _items(data: bytes) -> np.ndarray:
+    """The words of a text, repetitions told apart, as 64-bit hashes."""
+    words = np.sort(np.frombuffer(data, "<u4")).astype(np.uint64)
+    _, first, again = np.unique(words, return_index=True, return_inverse=True)
+    return mixed(words << np.uint64(32) | (np.arange(len(words)) - first[again]).astype(np.uint64))
+
+
+def _item_bins(batches):
+    total = np.zeros(ITEM_BINS, np.int64)
+    for batch in batches:
+        for data in batch.column("words"):
+            total += np.bincount((_items(data.as_py()) % np.uint64(ITEM_BINS)).astype(np.int64), minlength=ITEM_BINS)
+    bins = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(total[bins])], names=["bin", "n"])
+
+
+def rarest_words(words: DataFrame, share: float) -> DataFrame:
+    """(_node, items): the rarest words of each text, one more than a link may cost edits.
+
+    Linked texts have all but so many words of the longer one in common, so their rarest words
+    in any one order meet.  The order is by counts in 2^16 bins, which come to the driver.
+    """
+    counts = np.zeros(ITEM_BINS, np.int64)
+    for row in words.mapInArrow(_item_bins, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        counts[row["bin"]] = row["n"]
+
+    def work(batches):
+        for batch in batches:
+            chosen = []
+            for data in batch.column("words"):
+                items = _items(data.as_py())
+                order = np.lexsort((items, counts[(items % np.uint64(ITEM_BINS)).astype(np.int64)]))
+                chosen.append(items[order[:allowed(len(items), share) + 1]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(chosen, pa.list_(pa.int64()))],
+                                             names=["_node", "items"])
+
+    return words.select("node", "words").mapInArrow(work, RARE)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that a node is linked with over any number of edges.
 
@@ -174,22 +259,26 @@ def components(edges: DataFrame) -> DataFrame:
         edges = materialise(small.union(low.select("u", "m")).distinct(), "small-star")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, sketches: int = 40,
-                    kept: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, sketches: int = 96,
+                    kept: int = 2, short: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id, kept, n_words): classes of near-duplicate documents.
 
     Two texts are linked when their words (blank-separated, ASCII letters in lower case) have an
     edit similarity, 1 - distance / length of the longer, of ``similarity`` or more.  Texts with
     equal words are one node.  Candidates share one of ``sketches`` Order MinHash values: the
-    ``kept`` smallest occurrence-labelled k-mers of ``gram`` words, in text order; three at once
-    seldom lie in a passage that texts merely share, and many values make up for that (texts
-    with half of their k-mers in common miss each other with a chance of 1 in 200).  A class is a
-    connected component of links; its id is the smallest document id in it, whose row stays.
+    ``kept`` smallest occurrence-labelled k-mers of ``gram`` words, in text order.  At similarity
+    0.8 scattered substitutions leave 0.512 of the 3-word k-mers whole (Jaccard 0.34): one value
+    is shared with a chance of 0.12, none of 96 with 1 in 100,000; with a substitution at every
+    fifth word, the worst spread, 0.4 (0.25) and 1 in 500.  Texts of at most ``short`` words have
+    too few k-mers for such odds: they also get ``segment_keys``, of which linked texts always
+    share one.  A class is a connected component of links; its id is the smallest document id
+    in it, whose row stays.
 
     Within a bucket every node is aligned with the bucket's first node, not with every other.
     Distances to the first are exact up to twice the limit, and by the triangle inequality
     almost no other pair can be a link once a node is far from the first; the pairs that still
-    can (in different components so far) are aligned as well, so that no link is lost.
+    can (in different components so far) are aligned as well, so that no link is lost.  In
+    buckets of over 128 nodes such pairs must share one of their rarest words, as links do.
 
     Defined results: NULL and empty texts have no words and form one class; texts under
     ``gram`` words are one k-mer; a NULL id is never the class id unless the class has no other;
@@ -199,7 +288,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, ske
     reach = 2 * (1 - similarity)
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        row_hash(text).alias("row_hash"))
-    sketched = materialise(rows.mapInArrow(_sketch(gram, sketches, kept), SKETCHED), "sketches")
+    sketched = materialise(rows.mapInArrow(_sketch(gram, sketches, kept, short, 1 - similarity), SKETCHED), "sketches")
     nodes = materialise(sketched.filter(F.col("sketch").isNotNull()).select("content", "n_words", "sketch")
                         .dropDuplicates(["content"]).withColumn("node", F.monotonically_increasing_id()), "nodes")
     bands = nodes.select("node", F.col("n_words").alias("n"), F.explode("sketch").alias("bucket"))
@@ -237,13 +326,26 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 5, ske
             F.least(F.col("distance"), F.floor(F.lit(reach) * F.col("n")) + 1)).alias("least"),
         F.when(F.col("node") == F.col("leader"), 0).otherwise(F.col("distance")).alias("most"))
     mixed_buckets = materialise(mixed_buckets, "mixed")
-    other = mixed_buckets.select(*[F.col(c).alias(f"_{c}") for c in mixed_buckets.columns])
+    others = mixed_buckets.filter("least > 0")
+    crowded = materialise(others.groupBy("bucket").agg(F.count("*").alias("_size")).filter(F.col("_size") > CROWD)
+                          .select(F.col("bucket").alias("_crowded")), "crowded")
+    in_crowd = others.join(crowded, F.col("bucket") == F.col("_crowded")).drop("_crowded")
+    meets = in_crowd.groupBy("node", "n", "root").agg(F.collect_set("bucket").alias("buckets"))
+    rare = rarest_words(materialise(words.join(in_crowd.select("node").distinct(), "node"), "crowd"), 1 - similarity)
+    meets = materialise(meets.join(rare, F.col("node") == F.col("_node")).drop("_node"), "rare") \
+        .withColumn("item", F.explode("items")).drop("items")
+    calm = others.join(crowded, F.col("bucket") == F.col("_crowded"), "left_anti")
     room = F.floor(limit * F.greatest("n", "_n") + F.lit(1e-9))
-    rest = mixed_buckets.join(other, (F.col("bucket") == F.col("_bucket")) & (F.col("node") < F.col("_node"))
-                              & (F.col("root") != F.col("_root")) & (F.abs(F.col("n") - F.col("_n")) <= room)
-                              & (F.col("least") - F.col("_most") <= room) & (F.col("_least") - F.col("most") <= room)
-                              & ((F.col("least") > 0) & (F.col("_least") > 0))) \
-        .select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct()
+    fits = (F.col("node") < F.col("_node")) & (F.col("root") != F.col("_root")) & (F.abs(F.col("n") - F.col("_n")) <= room)
+
+    def met(rows, condition):
+        """Pairs of nodes in different components that can be links."""
+        other = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns])
+        return rows.join(other, condition & fits).select(F.col("node").alias("a"), F.col("_node").alias("b"))
+
+    rest = met(calm, (F.col("bucket") == F.col("_bucket")) & (F.col("least") - F.col("_most") <= room)
+               & (F.col("_least") - F.col("most") <= room)) \
+        .union(met(meets, (F.col("item") == F.col("_item")) & F.arrays_overlap("buckets", "_buckets"))).distinct()
     later = materialise(distances(rest, words, 1 - similarity).filter(F.col("distance") < FAR).select("a", "b"), "later")
     if later.limit(1).count():
         roots = components(linked.union(later))

@@ -103,6 +103,39 @@ def test_no_link_in_a_bucket_is_lost(spark):
     assert {r.class_id for r in got.collect() if r.doc_id >= 20} == {20}
 
 
+@pytest.mark.parametrize("size", [10, 20, 100])
+def test_planted_links_are_found(spark, size):
+    """Substitutions, insertions and removals, scattered or evenly spread, at 0.8, 0.85 and 0.9."""
+    random.seed(size)
+    rows = []
+    for number in range(360):
+        words = [f"p{number}x{i}" for i in range(size)]
+        edits = int((0.2, 0.15, 0.1)[number % 3] * size + 1e-9)
+        at = random.sample(range(size), edits) if number % 2 else [(2 * i + 1) * size // (2 * edits) for i in range(edits)]
+        other = list(words)
+        for place in at:
+            new, kind = f"z{number}x{place}", number // 6 % 3
+            other[place] = "" if kind == 1 else f"{new} {words[place]}" if kind == 2 and 5 * edits < size else new
+        rows += [(2 * number, " ".join(words), "en", "s", 1), (2 * number + 1, " ".join(other), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    missed = [n for n in range(360) if not got[2 * n] == got[2 * n + 1] == 2 * n]
+    assert len(missed) <= (2 if size > 50 else 0)
+
+
+def test_crowded_buckets_keep_their_links(spark, monkeypatch):
+    """Many short texts around one passage, all in the buckets of its k-mers, linked in pairs."""
+    monkeypatch.setattr(near_dedup, "CROWD", 8)
+    passage, rows = [f"s{i}" for i in range(10)], []
+    for number in range(60):
+        words = [f"p{number}x{i}" for i in range(15)]
+        rows += [(2 * number, " ".join(passage + words), "en", "s", 1),
+                 (2 * number + 1, " ".join(passage + words[:7] + ["z"] + words[8:]), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {n: n // 2 * 2 for n in range(120)}
+
+
 def test_edit_distances_are_exact_up_to_the_cap():
     random.seed(3)
 
