@@ -1,5 +1,6 @@
 """Token ids in Huffman-coded files: canonical length-limited codes, independent blocks."""
 
+import json
 import os
 import re
 from array import array
@@ -33,7 +34,9 @@ class WordTokenizer:
     The vocabulary drops white space, never joins across it and lower-cases, so a text's ids
     are those of its words (split at ASCII blanks only; the library deals with all other white
     space) after ASCII lower-casing.  Marks that end a word after a letter are a piece of their
-    own, so such a word is put together from two known parts.  Words are cached in two
+    own, so such a word is put together from two known parts.  A text with an added token of
+    the tokenizer file in it, in any case, goes through the library as it is: the library looks
+    for those before it lower-cases or splits.  Words are cached in two
     generations of bounded size: what the newer one lacks is looked for in the older one.
     """
 
@@ -42,7 +45,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(content.decode())
-        self.library.encode_special_tokens = True
+        self.added = [t["content"].encode().lower() for t in json.loads(content).get("added_tokens") or []]
         small = self.library.get_vocab_size() <= 1 << 16
         self.kind, self.code = ("<u2", "H") if small else ("<u4", "I")
         self.words: dict[bytes, bytes] = {}
@@ -72,7 +75,14 @@ class WordTokenizer:
 
     def ids_of(self, texts: list[bytes], end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned integers of ``kind``."""
-        split = [t.lower().split() for t in texts]
+        split, whole = [], []
+        for place, text in enumerate(texts):
+            lower = text.lower()
+            if any(token in lower for token in self.added):
+                whole.append(place)
+                split.append([])
+            else:
+                split.append(lower.split())
         if len(self.words) > CACHED_WORDS:
             self.older = {w: ids for w, ids in self.words.items() if len(w) <= CACHED_LENGTH}
             self.words = {}
@@ -81,7 +91,11 @@ class WordTokenizer:
         if missing:
             self._learn(missing)
         last = np.array([end], self.kind).tobytes()
-        return [b"".join([*map(known.__getitem__, words), last]) for words in split]
+        found = [b"".join([*map(known.__getitem__, words), last]) for words in split]
+        for place in whole:
+            ids = self.library.encode(texts[place].decode(), add_special_tokens=False).ids
+            found[place] = array(self.code, ids).tobytes() + last
+        return found
 
 
 _TOKENIZERS: dict = {}

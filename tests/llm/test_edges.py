@@ -189,6 +189,18 @@ def test_word_tokenizer_on_nasty_texts():
     assert np.frombuffer(own.ids_of([b"Plain text."], 1)[0], own.kind).tolist()[:-1] == library.encode("Plain text.").ids
 
 
+def test_added_tokens_are_what_a_fresh_library_gives():
+    with open(WORDS, "rb") as f:
+        own = token_files.WordTokenizer(f.read())
+    library = Tokenizer.from_file(WORDS)
+    random.seed(4)
+    parts = [*NASTY, "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|endof", "text|>", " hello ", "There."]
+    texts = ["hello <|endoftext|> there", "<|ENDOFTEXT|>", "x<|endoftext|>.", "hello <|endoftext|> <|ENDOFTEXT|>"]
+    texts += ["".join(random.choices(parts, k=random.randint(0, 30))) for _ in range(3000)]
+    for text, ids in zip(texts, own.ids_of([t.encode() for t in texts], 1)):
+        assert np.frombuffer(ids, own.kind).tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+
+
 @pytest.mark.parametrize("n,top", [(1, 1), (10, 3), (5000, 400), (60_000, 40_000)])
 def test_codes_are_short_complete_and_reversible(n, top):
     ids = np.minimum(np.random.default_rng(0).pareto(0.5, n).astype(np.int64), top)
