@@ -111,7 +111,40 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY body)
 """
 
+# Ranked search: every document scored for every item.
+OP12 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), s AS (
+    SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d
+), q AS (
+    SELECT item_id, unnest(list_distinct(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+    FROM benchmark
+), p AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+    WHERE term IN (SELECT term FROM q) GROUP BY r, term
+), w AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s
+), scored AS (
+    SELECT item_id, d.doc_id, r, sum(w * ((1000000000 * tf)
+               // (1000 * tf + 8 * (100 - 90 + (90 * len(terms) * n_docs) // n_terms))))::BIGINT AS score
+    FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (r), s
+    GROUP BY item_id, d.doc_id, r
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES = {
+    "op12_hybrid_ranked_search": OP12,
     "op5_extendible_hash_dedup": OP5,
     "op1_hierarchical_mixture": OP1,
     "op10_line_frequency_rules": OP10,

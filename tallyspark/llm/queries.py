@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 from tallyspark.llm.bpe import round_trip
 from tallyspark.llm.exact_dedup import exact_duplicates
 from tallyspark.llm.language_id import frozen_statistics, identify_languages
+from tallyspark.llm.lexical import build_index, search
 from tallyspark.llm.mixing import mix_to_weights
 from tallyspark.llm.near_dedup import near_duplicates
+from tallyspark.llm.pieces import round_trip as piece_round_trip
 from tallyspark.llm.quality import quality_verdicts
 from tallyspark.llm.quotations import reply_ordered
 from tallyspark.llm.shared import read_table
 from tallyspark.llm.sharding import interleaved_shards
 from tallyspark.llm.substring_dedup import repeated_windows_removed
 from tallyspark.llm.token_files import read_token_files, write_token_files
+from tallyspark.llm.whitening import whitened_embeddings
 
 
 # Target weights of the mixture; labels that are not named weigh 1.
@@ -70,8 +73,28 @@ def op10_line_frequency_rules(spark, folder):
     return quality_verdicts(read_table(spark, folder, "documents")).drop("n_removed_words", "host")
 
 
+def op11_distinct_chunk_pieces(spark, folder):
+    return piece_round_trip(read_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_hybrid_ranked_search(spark, folder):
+    index = build_index(read_table(spark, folder, "documents"))
+    return search(spark, index, read_table(spark, folder, "benchmark"), k=10)
+
+
+def op13_shifted_cholesky_whitening(spark, folder):
+    whitened, fitted = whitened_embeddings(read_table(spark, folder, "embeddings"), components=32)
+    explained = F.array(*[F.lit(float(e)) for e in (fitted.explained if fitted else [])]).cast("array<double>")
+    rows = whitened.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return rows.select("vec_id", (F.col("place") + 1).alias("component"),
+                       F.lit(fitted.centre.n if fitted else 0).cast("bigint").alias("n"), "deviation", "whitened",
+                       F.get(explained, F.col("place")).alias("explained"),
+                       F.lit(fitted.identity_error if fitted else 0.0).alias("identity_error"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hierarchical_mixture, op2_quotation_linking, op3_interleaved_shards, op5_extendible_hash_dedup,
     op4_ppm_language_id, op6_order_min_hash, op7_byte_level_bpe, op8_huffman_token_files,
-    op9_repeated_windows, op10_line_frequency_rules,
+    op9_repeated_windows, op10_line_frequency_rules, op11_distinct_chunk_pieces, op12_hybrid_ranked_search,
+    op13_shifted_cholesky_whitening,
 )}
