@@ -1028,6 +1028,82 @@ def to_month(keys=(), where="TRUE"):
        FROM {picked} GROUP BY ALL) x ON s.d = x.d{same})"""
 
 
+def period_visual(cells, labels, columns, dates, where):
+    """Figures of cells (name: SQL over a day ``d``) and labels; each cell's dates are listed and
+    every figure joins the facts to the dates it stands for."""
+    names, cells = list(cells), {f"c_{name}": sql for name, sql in cells.items()}
+    c = "".join(f"{name}, " for name in cells)
+    keys = ", ".join([*cells, *labels])
+    base = f"sum(amount) FILTER (WHERE {OK}) AS revenue_{{0}}, count(*) AS transactions_{{0}}"
+    parts = [f"""SELECT {keys}, {base.format('now')}, count(*) FILTER (WHERE {OK}) AS ok_now
+      FROM x JOIN ctx ON x.date = ctx.d GROUP BY ALL"""]
+    for name, back in (("pm", 1), ("py", 12)):
+        parts.append(f"""SELECT {keys}, {base.format(name)} FROM x JOIN (
+          SELECT DISTINCT {c}f.date AS t FROM ctx JOIN (SELECT DISTINCT date FROM x) f
+            ON f.date = CAST(ctx.d - INTERVAL {back} MONTH AS DATE)
+          UNION SELECT {c}f.date FROM whole JOIN (SELECT DISTINCT date FROM x) f
+            ON date_trunc('month', f.date) = whole.m - INTERVAL {back} MONTH
+        ) p ON x.date = p.t GROUP BY ALL""")
+    for name, same in (("ytd", "year"), ("qtd", "quarter"), ("mtd", "month"), ("ever", None)):
+        inside = f" AND date_trunc('{same}', x.date) = date_trunc('{same}', e.last)" if same else ""
+        parts.append(f"""SELECT {keys}, {base.format(name)} FROM x JOIN (
+          SELECT {c}max(d) AS last FROM ctx GROUP BY ALL) e ON x.date <= e.last{inside} GROUP BY ALL""")
+    union = " UNION ALL BY NAME ".join(f"({p})" for p in parts)
+    forms = {"total_revenue": ("revenue", "now"), "total_transactions": ("transactions", "now"),
+             "cumulative_revenue": ("revenue", "ever"), "cumulative_transactions": ("transactions", "ever")}
+    out = []
+    for name in columns:
+        what, _, period = name.partition("_")
+        if name == "success_rate_pct":
+            sql = "coalesce(CAST(any_value(ok_now) AS DOUBLE) / any_value(transactions_now) * 100, 0)"
+        elif name.endswith("_growth_pct"):
+            then = {"mom": "pm", "yoy": "py"}[period.split("_")[0]]
+            sql = growth(f"any_value({what}_now)", f"any_value({what}_{then})")
+        else:
+            what, period = forms.get(name, (what, period))
+            sql = f"CAST(any_value({what}_{period}) AS {'DOUBLE' if what == 'revenue' else 'BIGINT'})"
+        out.append(f"{sql} AS {name}")
+    solid = [n for n in columns if not n.endswith("_growth_pct")]
+    shown = ", ".join([*(f"CAST(c_{k} AS VARCHAR) AS {k}" for k in names), *labels])
+    attributes = "".join(f", {sql} AS {name}" for name, sql in cells.items())
+    return f"""SELECT * FROM (WITH cal AS (SELECT CAST(unnest(generate_series(min(date)::TIMESTAMP, max(date)::TIMESTAMP,
+        INTERVAL 1 DAY)) AS DATE) AS d FROM ft),
+      ctx AS (SELECT d{attributes} FROM cal WHERE {dates}),
+      whole AS (SELECT {c}date_trunc('month', d) AS m FROM ctx {'WHERE false' if 'date' in names else ''} GROUP BY ALL
+        HAVING count(*) = (SELECT count(*) FROM cal WHERE date_trunc('month', cal.d) = date_trunc('month', any_value(ctx.d)))),
+      x AS (SELECT * FROM tu WHERE {where}),
+      joined AS (SELECT {keys}, {', '.join(out)} FROM ({union}) GROUP BY {keys})
+    SELECT {shown}, {', '.join(columns)} FROM joined WHERE coalesce({', '.join(solid)}) IS NOT NULL)"""
+
+
+DAY_NAME = "dayname(d)"
+SQL["ti_1_14_visual_month_in_range"] = period_visual(
+    {"month_year": "strftime(d, '%b %Y')"}, [],
+    ["total_revenue", "total_transactions", "success_rate_pct", "revenue_pm", "revenue_mom_growth_pct",
+     "transactions_pm", "transactions_mom_growth_pct", "revenue_ytd", "cumulative_revenue"],
+    "d BETWEEN DATE '1998-03-10' AND DATE '1998-08-20'",
+    "payment_method IN ('UPI', 'Credit Card', 'Net Banking')")
+SQL["ti_5_14_visual_method_in_year"] = period_visual(
+    {}, ["payment_method"],
+    ["revenue_py", "revenue_yoy_growth_pct", "transactions_py", "transactions_yoy_growth_pct",
+     "transactions_ytd", "cumulative_transactions"],
+    "year(d) = 1998", "customer_tier IN ('Premium', 'VIP')")
+SQL["ti_1_14_visual_quarter_by_tier"] = period_visual(
+    {"quarter_label": "'Q' || quarter(d)"}, ["customer_tier"],
+    ["total_revenue", "revenue_pm", "revenue_py", "revenue_ytd", "revenue_qtd", "revenue_mtd",
+     "cumulative_transactions"],
+    "year(d) = 1997", "age_group IN ('25-34', '35-44') AND platform IN ('Mobile App', 'QR Code')")
+SQL["ti_1_14_visual_days_over_month_ends"] = period_visual(
+    {"date": "d"}, [],
+    ["total_transactions", "revenue_pm", "transactions_pm", "revenue_py", "revenue_mtd", "revenue_qtd",
+     "transactions_ytd", "cumulative_revenue"],
+    "d BETWEEN DATE '1996-02-25' AND DATE '1996-04-03'",
+    "category IN ('Food & Dining', 'Shopping', 'Groceries', 'Entertainment')")
+SQL["ti_5_14_visual_day_name_and_platform"] = period_visual(
+    {"day_name": DAY_NAME}, ["platform"],
+    ["total_transactions", "transactions_pm", "transactions_py", "transactions_yoy_growth_pct",
+     "transactions_ytd", "revenue_qtd"],
+    "year(d) = 1999 AND month(d) IN (2, 5)", "true")
 SQL["ti_9_10_year_to_date_by_month"] = to_month()
 SQL["ti_9_14_by_month_and_method"] = to_month(["payment_method"], "status = 'Success' AND amount > 200")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.measures import OK
 from tallyspark.functions.rates import money_sum_sql
+from tallyspark.sources.writers import stored
 
 FIGURES = ["revenue", "transactions"]
 
@@ -39,8 +40,9 @@ def month_shift(months: DataFrame, back: int, suffix: str, growth_suffix: str, k
     A range frame over the running month number finds exactly that month, so a month
     missing from the data gives NULL, never the last one present.  A label without rows in a
     month still has a line there if it has earlier figures to show, up to the last month of
-    the whole table.
+    the whole table.  The months are stored first: the facts behind them are read once.
     """
+    months = stored(months, "months")
     last = months.agg(F.max("month_start")).scalar()
     later = months.select(*keys, F.add_months("month_start", back).alias("month_start"),
                           *[F.lit(None).cast(months.schema[n].dataType).alias(n) for n in FIGURES])
@@ -77,8 +79,10 @@ def calendar_fill(rows: DataFrame, keys=(), column="date") -> DataFrame:
 
     Each row is stretched up to the one before the next (and the first row of a label back to
     the start), so the gaps appear without a join.  The figures stay on their own row; filled
-    rows hold NULL.  The ends of the table are one-row aggregates.
+    rows hold NULL.  The rows, one per day or month and label, are stored first: the facts behind
+    them are read once, and the ends of the table come from what is stored.
     """
+    rows = stored(rows, "days")
     label = Window.partitionBy(*keys).orderBy(column)
     spread = rows.withColumns({
         "_next": F.lead(column).over(label),

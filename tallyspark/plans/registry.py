@@ -595,6 +595,39 @@ query("ti_13_14_cumulative_by_day")(lambda i: timeintel.to_date_totals(i.strippe
 query("ti_9_14_by_day_and_platform")(lambda i: timeintel.to_date_totals(
     i.stripped, ["platform"]))
 
+# Period measures under slicers: (dimensions, measures, filters).
+PERIOD_VISUALS = {
+    "ti_1_14_visual_month_in_range": (
+        ("dim_date.month_year",),
+        ("total_revenue", "total_transactions", "success_rate_pct", "revenue_pm", "revenue_mom_growth_pct",
+         "transactions_pm", "transactions_mom_growth_pct", "revenue_ytd", "cumulative_revenue"),
+        {"dim_date.date": ("1998-03-10", "1998-08-20"),
+         "dim_payment_method.payment_method": ["UPI", "Credit Card", "Net Banking"]}),
+    "ti_5_14_visual_method_in_year": (
+        ("payment_method",),
+        ("revenue_py", "revenue_yoy_growth_pct", "transactions_py", "transactions_yoy_growth_pct",
+         "transactions_ytd", "cumulative_transactions"),
+        {"dim_date.year": [1998], "dim_users.customer_tier": ["Premium", "VIP"]}),
+    "ti_1_14_visual_quarter_by_tier": (
+        ("dim_users.customer_tier", "dim_date.quarter_label"),
+        ("total_revenue", "revenue_pm", "revenue_py", "revenue_ytd", "revenue_qtd", "revenue_mtd",
+         "cumulative_transactions"),
+        {"dim_date.year": [1997], "dim_users.age_group": ["25-34", "35-44"],
+         "dim_platform.channel": ["Mobile"]}),
+    "ti_1_14_visual_days_over_month_ends": (
+        ("dim_date.date",),
+        ("total_transactions", "revenue_pm", "transactions_pm", "revenue_py", "revenue_mtd", "revenue_qtd",
+         "transactions_ytd", "cumulative_revenue"),
+        {"dim_date.date": ("1996-02-25", "1996-04-03"), "dim_category.category_group": ["Lifestyle"]}),
+    "ti_5_14_visual_day_name_and_platform": (
+        ("dim_date.day_name", "platform"),
+        ("total_transactions", "transactions_pm", "transactions_py", "transactions_yoy_growth_pct",
+         "transactions_ytd", "revenue_qtd"),
+        {"dim_date.year": [1999], "dim_date.month": [2, 5]}),
+}
+for _name, _visual in PERIOD_VISUALS.items():
+    query(_name)(lambda i, v=_visual: semantic.visual_query(i.star, v[0], v[1], filters=v[2]))
+
 for _name, (_dims, _measures) in semantic.VISUALS.items():
     _label = f"{_measures[0]}_by_{'_'.join(d.split('.')[-1] for d in _dims)}" if _dims \
         else f"{_measures[0]}_cards"

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import derive
 from tallyspark.functions.measures import (
-    BAD, FLAGGED, OK, PENDING, REFUNDED, Term, distinct, mean, per, rate, rows, total,
+    BAD, FLAGGED, Measure, OK, PENDING, REFUNDED, Term, distinct, mean, per, rate, rows, total,
 )
 from tallyspark.functions.derive import TS
 from tallyspark.operators.aggregate import Dimension, Report, Share, run
+from tallyspark.operators import periods
 from tallyspark.operators.filters import apply_filters
+from tallyspark.operators.periods import PERIOD_MEASURES
 from tallyspark.operators.star import DATE_ATTRIBUTES, KEYS
+from tallyspark.sources.writers import stored
 
 _N = rows("total_transactions")
 _U = distinct("unique_users", "user_id")
@@ -116,7 +119,11 @@ def visual_query(star: dict, dims=(), measures=(), filters=None, where=None,
     Attributes of a date follow from the fact's own date, so ``dim_date`` is not joined: keys
     are derived from the fact row, and a date filter is a condition on the fact.  Profile
     attributes of ``dim_users`` come from the profiles, without the users' behaviour.
+
+    Period measures (``PERIOD_MEASURES``) may stand beside the others: see ``period_visual``.
     """
+    if any(m in PERIOD_MEASURES for m in measures):
+        return period_visual(star, dims, measures, filters, where, limit)
     fact = star["fact_transactions"]
     dated = TS in fact.columns
     keys, order, hidden, dimensions = [], [], [], []
@@ -152,6 +159,108 @@ def visual_query(star: dict, dims=(), measures=(), filters=None, where=None,
     return run(report, fact, [d for _, d in dimensions], _restrictions(star, rest))
 
 
+def period_visual(star: dict, dims=(), measures=(), filters=None, where=None, limit=None) -> DataFrame:
+    """``visual_query`` for measures some of which replace the dates of their context.
+
+    The fact is read once, into a stored daily table: a row per date, label and outcome of each
+    filter that is not about dates.  Filters on dates stay conditions on the calendar, which
+    reaches over all dates of the fact.  Rows without a date belong to no period.  Distinct
+    counts are refused, as those of days do not add up to those of a period.
+    """
+    fact, filters = star["fact_transactions"], dict(filters or {})
+    named = [m for m in measures if m not in PERIOD_MEASURES]
+    bases = dict.fromkeys([*named, *(PERIOD_MEASURES[m].base for m in measures if m in PERIOD_MEASURES)])
+    if refused := [m for m in bases if not all(t.additive for t in MEASURES[m].terms())]:
+        raise ValueError(f"{', '.join(refused)} cannot stand beside period measures")
+    terms = list(dict.fromkeys(t for m in bases for t in MEASURES[m].terms()))
+    values = {t: f"_t{i}" for i, t in enumerate(terms)}
+
+    attributes, hidden, order, tables = {}, [], [], {}
+    keys, labels, shown = [(periods.DATE, lambda: F.to_date(TS))], {}, {}
+    for dim in dims:
+        table, _, column = dim.rpartition(".")
+        if table == "dim_date":
+            name = f"_c{len(attributes)}"
+            if column == "month_year":
+                attributes.update({"_year": F.year, "_month": F.month})
+                order += ["_year", "_month"]
+            else:
+                order.append(name)
+            attributes[name] = DATE_ATTRIBUTES[column] if column != "date" else F.col
+            shown[column] = name
+            continue
+        name = f"_l{len(labels)}"
+        labels[name] = shown[column] = name
+        order.append(name)
+        keys.append((name, column))
+        if table and column not in fact.columns:
+            tables.setdefault(table, (_source(star, table, column), {}))
+    in_dates, flags = F.lit(True), []
+    for attribute, chosen in filters.items():
+        table, _, column = attribute.rpartition(".")
+        if table == "dim_date":
+            make = DATE_ATTRIBUTES.get(column, F.col)
+            chosen = [F.lit(v).cast("date") for v in chosen] if column == "date" else chosen
+            wanted = tuple(chosen) if isinstance(filters[attribute], tuple) else chosen
+            in_dates = in_dates & _wanted(make(periods.DATE), wanted)
+            continue
+        name = f"_in{len(flags)}"
+        flags.append(name)
+        if column in fact.columns:
+            keys.append((name, lambda c=column, v=chosen: _wanted(F.col(c), v)))
+        else:
+            base, extra = tables.setdefault(table, (_source(star, table, column), {}))
+            extra[name] = _wanted(F.col(column), chosen)
+            keys.append((name, name))
+    if where:
+        flags.append("_in_where")
+        keys.append(("_in_where", where))
+    dimensions = [_dimension(star, t, base.withColumns(extra) if extra else base)
+                  for t, (base, extra) in tables.items()]
+    sums = tuple(replace(_term_sum(t), name=v) for t, v in values.items())
+    daily = stored(run(Report(tuple(keys), sums), fact, dimensions), "daily")
+
+    days = periods.calendar(daily)
+    cells = periods.context(days, attributes, in_dates)
+    kept = daily.filter(" AND ".join(flags)) if flags else daily
+    wanted = list(dict.fromkeys(PERIOD_MEASURES[m].period for m in measures if m in PERIOD_MEASURES))
+    found = periods.evaluate(kept, days, cells, wanted, list(attributes), list(labels), list(values.values()),
+                             by_day="dim_date.date" in dims)
+
+    def column_of(base, period):
+        return f"{values[MEASURES[base].top]}_{period}"
+
+    out = [F.col(name).alias(column) for column, name in shown.items()]
+    for m in measures:
+        if m in PERIOD_MEASURES:
+            out.append(periods.period_column(m, column_of))
+        else:
+            measure = replace(MEASURES[m], blank_zero=bool(dims) and m in COUNTS)
+            out.append(measure.finish(lambda t: _term_now(t, f"{values[t]}_now")))
+    # Growth is 0 where there is nothing to grow from: it does not keep a row by itself.
+    figures = [m for m in measures if m not in PERIOD_MEASURES or not PERIOD_MEASURES[m].grown]
+    result = found.orderBy(*[F.col(o).asc_nulls_first() for o in order]).select(*out) if dims else found.select(*out)
+    if dims and figures:
+        result = result.dropna(how="all", subset=figures)
+    return result.limit(limit) if limit is not None and dims else result
+
+
+def _source(star, table, column):
+    """The table that has an attribute: profile attributes do not need the users' behaviour."""
+    profiles = getattr(star, "profiles", None)
+    return profiles if table == "dim_users" and profiles is not None and column in profiles.columns else star[table]
+
+
+def _term_sum(term):
+    """A measure that is the bare sum of an additive term."""
+    return Measure("", term, exact=True)
+
+
+def _term_now(term, column):
+    """A term's daily sums added up; counts of nothing are 0."""
+    return f"coalesce({column}, 0)" if term.kind in ("rows", "values") else column
+
+
 def _date_key(column):
     return lambda: DATE_ATTRIBUTES[column](TS)
 
