@@ -1166,6 +1166,30 @@ SQL["vz_36c_total_refunds_by_category"] = group(
     "ft", "category", {"total_refunds": N}, "is_refunded")
 SQL["vz_36d_success_rate_pct_by_device_type"] = measures(
     ["success_rate_pct", "avg_transaction_amount"], ["device_type"], "ft", MOBILE)
+def matrix(names, keys, where="true", blank="total_transactions"):
+    """Every level of a matrix as a query of its own; groups without a count are hidden."""
+    out = []
+    for chosen in [list(keys), *[[k] for k in keys if len(keys) > 1], []]:
+        kept = [f"{keys[k]} AS {k}" if k in chosen else f"CAST(NULL AS {'INT' if k == 'hour' else 'VARCHAR'}) AS {k}"
+                for k in keys]
+        marks = [f"{'false' if k in chosen else 'true'} AS all_{k}" for k in keys]
+        by = ", ".join(keys[k] for k in chosen)
+        out.append(f"SELECT {', '.join([*kept, *marks, *[f'{M[m]} AS {m}' for m in names]])} FROM tu "
+                   f"WHERE {where}{f' GROUP BY {by}' if by else ''} HAVING {M[blank]} > 0")
+    return " UNION ALL ".join(f"({q})" for q in out)
+
+
+SQL["vz_6_matrix_with_totals"] = matrix(
+    ["total_transactions", "success_rate_pct", "unique_users", "total_revenue"],
+    {"day_name": "dayname(date)", "hour": HOUR})
+SQL["vz_15_matrix_with_totals"] = matrix(
+    ["failed_transactions", "lost_revenue", "avg_failed_amount"],
+    {"payment_method": "payment_method", "failure_reason": "failure_reason"}, blank="failed_transactions")
+SQL["vz_17_matrix_tier_by_channel"] = matrix(
+    ["total_transactions", "unique_users", "avg_transactions_per_user", "fraud_rate_pct"],
+    {"customer_tier": "customer_tier", "channel": CHANNEL.split(" AS ")[0]}, "year(date) IN (1997, 1998)")
+SQL["vz_21_months_with_total"] = matrix(
+    ["unique_users", "avg_transactions_per_user", "total_transactions"], {"month_year": "strftime(date, '%b %Y')"})
 SQL["vz_36e_amount_by_flag"] = box("amount")
 SQL["vz_37_platform_shares"] = f"""SELECT platform, txn,
   {half_up('100 * txn', '(SELECT count(*) FROM ft)', 1)} AS share_pct,

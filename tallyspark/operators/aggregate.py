@@ -54,6 +54,10 @@ class Report:
     after: tuple = ()              # (name, SQL expression) over the finished row
     drop: tuple = ()               # keys grouped on but not shown
     hide_blank: bool = False       # drop groups whose measures are all NULL
+    # Subsets of the keys that get rows of their own, () being the grand total.  A column
+    # ``all_<key>`` tells a total over a key from a group whose key is NULL.
+    margins: tuple = ()
+    detail: bool = True            # with margins: keep the rows of the full keys
 
 
 def run(report: Report, facts: DataFrame, dimensions=(), restrict=()) -> DataFrame:
@@ -86,17 +90,20 @@ def run(report: Report, facts: DataFrame, dimensions=(), restrict=()) -> DataFra
             terms.append(item)
     names = {t: f"_t{i}" for i, t in enumerate(terms)}
 
-    if used:
-        grouped = _reduce_then_join(rows, used, own_columns, borrowed, terms, names)
+    if used or report.margins:
+        grouped = _reduce_then_join(rows, used, own_columns, borrowed, terms, names, _sets(report, keys))
     else:
         grouped = rows.groupBy(*own_columns).agg(*[t.first().alias(names[t]) for t in terms])
-    grouped = grouped.withColumnsRenamed({f"_k{i}": name for i, (name, _) in enumerate(keys)})
+    grouped = grouped.withColumnsRenamed({
+        was: now for i, (name, _) in enumerate(keys) for was, now in ((f"_k{i}", name), (f"_g{i}", f"all_{name}"))})
 
     if forms:
         grouped = grouped.withColumns(forms)
 
     if not report.keep_null_keys and keys:
-        grouped = grouped.dropna(subset=[name for name, _ in keys])
+        total = (lambda name: F.col(f"all_{name}")) if report.margins else (lambda name: F.lit(False))
+        for name, _ in keys:
+            grouped = grouped.filter(F.col(name).isNotNull() | total(name))
     return _present(report, grouped, [name for name, _ in keys], names)
 
 
@@ -137,7 +144,22 @@ def _side(dimension, borrowed):
     return dimension.table.select(dimension.key, *names_of), names_of
 
 
-def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
+def _sets(report, keys):
+    """The grouping sets of a report with margins, as key columns; none without."""
+    if not report.margins:
+        return []
+    if report.fixed:
+        raise ValueError("a report of fixed levels has no margins")
+    wanted = [*([[name for name, _ in keys]] if report.detail else []), *report.margins]
+    return [[f"_k{i}" for i, (name, _) in enumerate(keys) if name in chosen] for chosen in wanted]
+
+
+def _reduce_then_join(rows, used, own_columns, borrowed, terms, names, sets=()):
+    """Figures from rows reduced to the report's keys, foreign keys and distinct values.
+
+    With grouping ``sets`` every level is made from the reduced rows, not from the facts: sums
+    and counts of rows add up, distinct values are still there to be counted on each level.
+    """
     links = list(dict.fromkeys(d.key for d in used))
     counted = [t for t in terms if not t.additive]
     # Distinct values are not additive: keep their column (NULL outside the term's condition,
@@ -161,22 +183,27 @@ def _reduce_then_join(rows, used, own_columns, borrowed, terms, names):
         else:
             merge = F.collect_set if t.kind == "labels" else F.count_distinct
             outputs.append(merge(held[t]).alias(names[t]))
-    return reduced.groupBy(*own_columns, *[f"_k{i}" for i, _ in borrowed]).agg(*outputs)
+    columns = [*own_columns, *[f"_k{i}" for i, _ in borrowed]]
+    if sets:
+        marks = [(F.grouping(c) == 1).alias(c.replace("_k", "_g")) for c in columns]
+        return reduced.groupingSets(sets, *columns).agg(*outputs, *marks)
+    return reduced.groupBy(*columns).agg(*outputs)
 
 
 def _present(report, grouped, keys, names):
     def column_of(term: Term) -> str:
         return names[term]
 
-    extra = []
+    extra, marks = [], [f"all_{k}" for k in keys] if report.margins else []
+    level = f"PARTITION BY {', '.join(marks)}" if marks else ""
     for s in report.shares:
         own = column_of(s.of)
-        # The window runs over the finished groups: one row per label.
-        whole = f"{s.against}({own}) OVER ()"
+        # The window runs over the finished groups of a level: one row per label.
+        whole = f"{s.against}({own}) OVER ({level})"
         value = (plain_ratio_sql(own, whole, s.scale) if s.places is None
                  else rounded_ratio_sql(own, whole, s.places, s.scale))
         extra.append(F.expr(value).alias(s.name))
-    out = grouped.select(*keys, *[m.finish(column_of) for m in report.measures], *extra)
+    out = grouped.select(*keys, *marks, *[m.finish(column_of) for m in report.measures], *extra)
     if report.hide_blank:
         out = out.dropna(how="all", subset=[m.name for m in report.measures])
     if report.after:
@@ -185,13 +212,19 @@ def _present(report, grouped, keys, names):
         key, levels, fill = report.fixed
         return reindex(out, key, levels, fill)
     if report.order:
-        out = out.orderBy(*[_ordering(o, report.levels) for o in report.order])
+        out = out.orderBy(*[c for o in report.order for c in _ordering(o, report.levels, marks)])
     if report.limit is not None:
         out = out.limit(report.limit)
-    return out.drop(*report.drop) if report.drop else out
+    return out.drop(*report.drop, *[f"all_{k}" for k in report.drop]) if report.drop else out
+
+
+def _ordering(name, levels, marks=()):
+    """Sort columns of one item; totals over a key come after its groups."""
+    last = [F.col(f"all_{name.lstrip('-')}")] if f"all_{name.lstrip('-')}" in marks else []
+    return [*last, _direction(name, levels)]
 
 
-def _ordering(name, levels):
+def _direction(name, levels):
     descending = name.startswith("-")
     name = name.lstrip("-")
     column = level_rank(name, levels[name]) if name in levels else F.col(name)

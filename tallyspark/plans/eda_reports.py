@@ -97,21 +97,27 @@ def report(name: str, rows_: DataFrame, profiles: DataFrame | None = None) -> Da
     return run_over(REPORTS[name], rows_)
 
 
-def _first(rows_: DataFrame, key, where=None, figure=COUNT):
-    """The key with the highest figure (ties: the first key) as a scalar subquery."""
-    top = run_over(Report((key,), (figure,), where=where, keep_null_keys=False,
-                     order=(f"-{figure.name}", key), limit=1), rows_)
-    return top.select(F.struct(F.col(key).alias("label"), F.col(figure.name).alias("value"))).scalar()
+# What leads a finding: (key, order figure, shown figure).
+LEADERS = {"_method": ("payment_method", "success_pct"), "_reason": ("failure_reason", "failed"),
+           "_fraud": ("fraud_reason", "flagged"), "_category": ("category", "refunds")}
+
+
+def _leader(key, figure):
+    """(label, value) of the group with the highest figure above nothing; ties go to the first."""
+    level = F.col(key).isNotNull() & ~F.col(f"all_{key}") & (F.col(figure) > 0)
+    best = F.min(F.when(level, F.struct((-F.col(figure)).alias("_rank"), F.col(key).alias("label"),
+                                        F.col(figure).alias("value"))))
+    return F.struct(best["label"].alias("label"), best["value"].alias("value"))
 
 
 def findings(rows_: DataFrame, profiles: DataFrame) -> DataFrame:
     """The figures of the written findings report on one row.
 
-    One pass gives every global figure; the leaders and the demographic figures are
-    scalar subqueries over small aggregates.
+    One pass gives every global figure and every leader, as the grand total and the one-key
+    margins of a report; a second one, reduced to users, gives the demographic figures.
     """
-    base = run_over(Report(measures=(
-        rows("total_transactions"), distinct("users", "user_id"),
+    figures = (
+        rows("total_transactions"),
         rows("successful", OK), rate("success_pct", OK),
         rows("failed", BAD), rate("failed_pct", BAD),
         rows("pending", PENDING), rate("pending_pct", PENDING),
@@ -130,7 +136,20 @@ def findings(rows_: DataFrame, profiles: DataFrame) -> DataFrame:
         total("refund_value", "refund_amount"),
         rate("mobile_app_pct", "platform = 'Mobile App'"),
         rows("android", "device_type = 'Android'"), rows("ios", "device_type = 'iOS'"),
-    )), rows_)
+    )
+    keys = tuple(key for key, _ in LEADERS.values())
+    levels = run_over(Report(keys, figures, margins=((), *[(k,) for k in keys]), detail=False), rows_)
+    grand = F.lit(True)
+    for key in keys:
+        grand = grand & F.col(f"all_{key}")
+    counts = {m.name for m in figures if m.bottom is None and m.top.kind == "rows"}
+
+    def of_all(name):
+        value = F.max(F.when(grand, F.col(name)))
+        return (F.coalesce(value, F.lit(0)) if name in counts else value).alias(name)
+
+    base = levels.agg(*[of_all(m.name) for m in figures],
+                      *[_leader(key, figure).alias(name) for name, (key, figure) in LEADERS.items()])
     people = run_over(Report(("age_group", "customer_tier", "spending_persona"), (
         rows("n"), total("volume", "amount", exact=True), rows("n_amount", "amount IS NOT NULL"),
         distinct("users", "user_id"),
@@ -145,18 +164,12 @@ def findings(rows_: DataFrame, profiles: DataFrame) -> DataFrame:
          / F.sum("n") * 100).alias("age_25_34_pct"),
         plain_ratio(part(spender, "volume"), part(spender, "n_amount"))
          .alias("high_spender_avg"),
+        # A user has one profile, so users of different groups are different users.
+        F.coalesce(F.sum("users"), F.lit(0)).alias("users"),
         F.coalesce(part(F.col("customer_tier") == "VIP", "users"), F.lit(0)).alias("vip_users"),
     )).scalar()
-    leaders = base.select(
-        "*",
-        _first(rows_, "payment_method", figure=rate("success_rate", OK)).alias("_method"),
-        _first(rows_, "failure_reason", BAD).alias("_reason"),
-        _first(rows_, "fraud_reason", FLAGGED).alias("_fraud"),
-        _first(rows_, "category", REFUNDED).alias("_category"),
-        people.alias("_people"),
-    )
-    return leaders.select(
-        *base.columns,
+    return base.select("*", people.alias("_people")).select(
+        "total_transactions", "_people.users", *[m.name for m in figures[1:]],
         F.col("_method.label").alias("best_method"),
         F.col("_method.value").alias("best_method_success_pct"),
         F.col("_reason.label").alias("top_failure_reason"),

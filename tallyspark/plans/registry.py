@@ -635,6 +635,23 @@ for _name, (_dims, _measures) in semantic.VISUALS.items():
         lambda i, n=_name: semantic.visual(n, i.star,
                                            where="device_type IN ('Android', 'iOS')"
                                            if n == "36d" else None))
+# Matrices with subtotals: (dimensions, measures, margins, filters).
+MATRICES = {
+    "vz_6_matrix_with_totals": (
+        ("dim_date.day_name", "hour"), ("total_transactions", "success_rate_pct", "unique_users", "total_revenue"),
+        (("dim_date.day_name",), ("hour",), ()), None),
+    "vz_15_matrix_with_totals": (
+        ("payment_method", "failure_reason"), ("failed_transactions", "lost_revenue", "avg_failed_amount"),
+        (("payment_method",), ("failure_reason",), ()), None),
+    "vz_17_matrix_tier_by_channel": (
+        ("dim_users.customer_tier", "dim_platform.channel"),
+        ("total_transactions", "unique_users", "avg_transactions_per_user", "fraud_rate_pct"),
+        (("dim_users.customer_tier",), ("dim_platform.channel",), ()), {"dim_date.year": [1997, 1998]}),
+    "vz_21_months_with_total": (
+        ("dim_date.month_year",), ("unique_users", "avg_transactions_per_user", "total_transactions"), ((),), None),
+}
+for _name, _matrix in MATRICES.items():
+    query(_name)(lambda i, m=_matrix: semantic.visual_query(i.star, m[0], m[1], filters=m[3], margins=m[2]))
 query("vz_36e_amount_by_flag")(lambda i: quantiles.box_stats(i.stripped, "amount", "is_flagged"))
 query("vz_37_platform_shares")(lambda i: semantic.platform_shares(i.stripped))
 query("vz_37_top_reasons_others")(lambda i: semantic.top_reasons(i.stripped, 3))

@@ -108,7 +108,7 @@ VISUALS = {
 
 
 def visual_query(star: dict, dims=(), measures=(), filters=None, where=None,
-                 limit=None) -> DataFrame:
+                 limit=None, margins=()) -> DataFrame:
     """Measures by dimension attributes (``dim_date.month_year``) or fact columns.
 
     ``filters`` maps an attribute of a dimension to a list of values, or to a
@@ -120,9 +120,14 @@ def visual_query(star: dict, dims=(), measures=(), filters=None, where=None,
     are derived from the fact row, and a date filter is a condition on the fact.  Profile
     attributes of ``dim_users`` come from the profiles, without the users' behaviour.
 
+    ``margins`` are subsets of ``dims`` that get subtotals, () being the grand total; a column
+    ``all_<attribute>`` marks them.  Rates and distinct counts of a total are its own.
+
     Period measures (``PERIOD_MEASURES``) may stand beside the others: see ``period_visual``.
     """
     if any(m in PERIOD_MEASURES for m in measures):
+        if margins:
+            raise ValueError("period measures have no margins")
         return period_visual(star, dims, measures, filters, where, limit)
     fact = star["fact_transactions"]
     dated = TS in fact.columns
@@ -149,7 +154,8 @@ def visual_query(star: dict, dims=(), measures=(), filters=None, where=None,
     )
     report = Report(tuple(keys + hidden), chosen, where=where, order=tuple(order),
                     limit=limit if dims else None,
-                    drop=("year", "month") if hidden else (), hide_blank=bool(dims))
+                    drop=("year", "month") if hidden else (), hide_blank=bool(dims),
+                    margins=tuple(_with_hidden(m) for m in margins))
     for attribute, values in (filters or {}).items():
         table, _, column = attribute.rpartition(".")
         if dated and table == "dim_date" and (column == "date" or column in DATE_ATTRIBUTES):
@@ -245,6 +251,12 @@ def period_visual(star: dict, dims=(), measures=(), filters=None, where=None, li
     return result.limit(limit) if limit is not None and dims else result
 
 
+def _with_hidden(dims):
+    """Names of the keys of dimensions: a month comes with the keys that order it."""
+    names = [d.rpartition(".")[2] for d in dims]
+    return (*names, "year", "month") if "month_year" in names else tuple(names)
+
+
 def _source(star, table, column):
     """The table that has an attribute: profile attributes do not need the users' behaviour."""
     profiles = getattr(star, "profiles", None)
