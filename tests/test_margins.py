@@ -27,7 +27,7 @@ def test_levels_have_their_own_distinct_counts_and_rates(spark):
     got = [tuple(r) for r in run(report, _facts(spark)).collect()]
     assert got == [
         ("X", None, False, False, 1, 1, 0.0), ("X", "P", False, False, 1, 1, 100.0), ("X", "Q", False, False, 1, 1, 100.0),
-        ("X", None, False, True, 3, 3, 200 / 3), ("Y", "P", False, False, 1, 1, 100.0), ("Y", None, False, True, 1, 1, 100.0),
+        ("X", None, False, True, 3, 3, 2 / 3 * 100), ("Y", "P", False, False, 1, 1, 100.0), ("Y", None, False, True, 1, 1, 100.0),
         (None, None, True, False, 1, 1, 0.0), (None, "P", True, False, 2, 1, 100.0), (None, "Q", True, False, 1, 1, 100.0),
         (None, None, True, True, 4, 3, 75.0)]
 

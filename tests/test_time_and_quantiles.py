@@ -1,10 +1,14 @@
 import random
+import re
 from datetime import date, datetime
 
 import numpy as np
+import pytest
 
 from tallyspark.operators import quantiles, timeintel
+from tallyspark.plans.registry import QUERIES
 from tests.data import transactions
+from tests.test_oracle import FOLDER
 
 
 def _at(y, m, d, amount="100", **kw):
@@ -79,6 +83,30 @@ def test_quantiles_match_brute_force_across_ranges(spark):
         assert abs(r.mean - np.mean(own)) < 1e-3
 
 
+def test_brackets_select_exactly_among_many_rows(spark):
+    """Above the steps of the sketch: ties at the quartiles, stretches between the brackets."""
+    rows = spark.range(60_000).selectExpr(
+        "id % 2 = 0 AS is_flagged",
+        "CAST(CASE WHEN id % 10 < 3 THEN 100 ELSE pmod(xxhash64(id), 10000000) / 100.0 END AS decimal(12,2)) AS amount")
+    counted = quantiles.counted(rows, "amount", ["is_flagged"], fences=True).collect()
+    assert len(counted) < 3_000 and any(r.least < r.most for r in counted)
+    found = {r.is_flagged: r for r in quantiles.box_stats(rows, "amount", "is_flagged").collect()}
+    for flag, r in found.items():
+        own = np.array([float(x.amount) for x in rows.filter(f"is_flagged = {flag}").collect()])
+        q1, median, q3 = np.percentile(own, [25, 50, 75])
+        assert abs(r.q1 - q1) < 1e-3 and abs(r["median"] - median) < 1e-3 and abs(r.q3 - q3) < 1e-3
+        inside = own[(own >= q1 - 1.5 * (q3 - q1)) & (own <= q3 + 1.5 * (q3 - q1))]
+        assert (r.whisker_low, r.whisker_high, r.n_outliers) == (inside.min(), inside.max(), len(own) - len(inside))
+    one = quantiles.numeric_profile(rows.withColumn("amount", rows.amount * 0 + 5), "amount").first()
+    assert (one.q25, one.q75, one["min"], one["max"], one["count"]) == (5.0, 5.0, 5.0, 5.0, 60_000)
+
+
+@pytest.mark.parametrize("name", ["dq_20_amount_profile", "ed_13b_box_by_flag", "ap_22_box_with_mean", "vz_36e_amount_by_flag"])
+def test_two_reads_of_the_facts(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet .*?orders\.parquet", plan)) <= 2
+
+
 def test_a_single_value(spark):
     row = quantiles.numeric_profile(transactions(spark, {"amount": "7"}), "amount").first()
     assert (row.q25, row.q50, row.q75, row.std) == (7.0, 7.0, 7.0, None)
