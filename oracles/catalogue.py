@@ -905,6 +905,22 @@ for _name, _measures in {
     "m_26_27_processing": ["avg_processing_time", "avg_failed_processing_time"],
 }.items():
     SQL[_name] = measures(_measures, ["category"])
+
+
+def user_levels(keys, grains):
+    """User figures counted anew for each period, under each other."""
+    out = []
+    for grain in grains:
+        start = "NULL::VARCHAR" if grain == "all" else f"CAST(CAST(date_trunc('{grain}', date) AS DATE) AS VARCHAR)"
+        columns = {"period_start": start, "grain": f"'{grain}'", "unique_users": USERS, "transactions": N,
+                   "revenue": money("amount", OK), "avg_transactions_per_user": f"{N}::DOUBLE / {USERS}",
+                   "avg_revenue_per_user": f"coalesce({money('amount', OK)} / {USERS}, 0)"}
+        out.append(f"({group('ft', list(keys), columns, tail='' if keys else 'GROUP BY ALL')})")
+    return " UNION ALL ".join(out)
+
+
+SQL["m_15_17_user_sets_by_period"] = user_levels([], ["month", "quarter", "year", "all"])
+SQL["m_15_17_user_sets_by_method"] = user_levels(["payment_method"], ["quarter", "year", "all"])
 SQL["m_all_global"] = measures(list(M))
 SQL["m_28_29_status_bands"] = f"""SELECT *,
   CASE WHEN success_rate_pct >= 95 THEN 'good' WHEN success_rate_pct >= 90 THEN 'warn'

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions import derive
 from tallyspark.functions.measures import rows
 from tallyspark.operators import (
-    clean, filters, joins, quality, quantiles, star, timeintel, users,
+    clean, filters, joins, quality, quantiles, star, timeintel, users, usersets,
 )
 from tallyspark.operators.aggregate import Report, run
 from tallyspark.plans import dashboard_reports, eda_reports, semantic, sql_reports, workbook_reports
@@ -574,6 +574,21 @@ _GROUPS = {
 }
 for _name, _measures in _GROUPS.items():
     query(_name)(lambda i, m=_measures: semantic.measure_table(i.star, m, ["category"]))
+
+
+def _levels(sets, keys, periods):
+    """User figures of several periods under each other, from one stored table."""
+    out = None
+    for period in periods:
+        part = sets.figures(period, keys).withColumn("grain", F.lit(period or "all"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+query("m_15_17_user_sets_by_period")(lambda i: _levels(
+    usersets.user_sets(i.stripped, ["payment_method"]), [], ["month", "quarter", "year", None]))
+query("m_15_17_user_sets_by_method")(lambda i: _levels(
+    usersets.user_sets(i.stripped, ["payment_method", "platform"]), ["payment_method"], ["quarter", "year", None]))
 query("m_all_global")(lambda i: semantic.measure_table(i.star, list(semantic.MEASURES)))
 query("m_28_29_status_bands")(lambda i: semantic.status_bands(i.star, ["payment_method"]))
 query("m_30_period_label")(lambda i: timeintel.period_label(i.stripped))
