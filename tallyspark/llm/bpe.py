@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding with vectorised pre-tokenisation."""
 
 import base64
+import hashlib
 import heapq
 import unicodedata
 from functools import lru_cache
@@ -38,8 +39,10 @@ NEW_NUMBERS = [
     (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
 ]
 
-CACHED_PIECES = 400_000
+CACHED_BYTES = 64 << 20
+ENTRY_BYTES = 220
 CACHED_LENGTH = 48
+PART_LENGTH = 1 << 20
 BLOCK = 64
 
 
@@ -163,12 +166,31 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
 
 
+def parts_of(text: str) -> list[str]:
+    """Parts of a text of about ``PART_LENGTH`` characters.
+
+    It is cut between a letter or digit and a blank: a piece never has a blank after another
+    character, and no piece depends on what stands before it.
+    """
+    parts, start = [], 0
+    while len(text) - start > PART_LENGTH:
+        cut = text.find(" ", start + PART_LENGTH)
+        while cut > 0 and not text[cut - 1].isalnum():
+            cut = text.find(" ", cut + 1)
+        if cut < 0:
+            break
+        parts.append(text[start:cut])
+        start = cut
+    return [*parts, text[start:]]
+
+
 class Codec:
     """Ranks with the cache of pieces (encoding) and the flat vocabulary (decoding)."""
 
     def __init__(self, content: bytes):
         self.ranks = parse_ranks(content)
         self.cache: dict[str, bytes] = {}
+        self.held = 0
         words = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             words[rank] = token
@@ -179,13 +201,24 @@ class Codec:
     def ids_of(self, piece: str) -> bytes:
         ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
         if len(piece) <= CACHED_LENGTH:
-            if len(self.cache) >= CACHED_PIECES:
+            if self.held >= CACHED_BYTES:
                 self.cache.clear()
+                self.held = 0
             self.cache[piece] = ids
+            self.held += ENTRY_BYTES + len(piece) + len(ids)
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
+        """The ids of each text as little-endian unsigned 32-bit integers; a long text part by
+        part, so that the scan's arrays stay small."""
+        if all(len(t) <= PART_LENGTH for t in texts):
+            return self._encode(texts)
+        found = []
+        for text in texts:
+            found.append(b"".join(self._encode([part])[0] for part in parts_of(text)))
+        return found
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         joined = "\n".join([*texts, ""])
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         ends = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64)) - 1
@@ -206,24 +239,12 @@ class Codec:
         return self.flat[shift + np.arange(len(shift))].tobytes(), ends
 
 
-_CODECS: dict = {}
-
-
-def _codec(content) -> Codec:
-    """The codec of a broadcast rank file, built once per Python worker."""
-    name = hash(content.value)
-    if name not in _CODECS:
-        _CODECS.clear()
-        _CODECS[name] = Codec(content.value)
-    return _CODECS[name]
-
-
 def encode_documents(docs: DataFrame, rank_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids) of every document: ids as little-endian unsigned 32-bit integers.
 
     Piece boundaries come from character classes and a scan over transition functions, not
-    from a regular expression; each piece is merged once and cached (bounded, short pieces
-    only).  The rank file is read by the driver and broadcast: it is a vocabulary of fixed
+    from a regular expression; each piece is merged once and cached (short pieces only, 64 MB,
+    for the length of a task).  The rank file is read by the driver and broadcast: it is a vocabulary of fixed
     size.  Tasks hold a few MB of text at a time, or one text if that is longer.
 
     Defined results: NULL counts as the empty text, which has no ids; every row gives a row,
@@ -233,7 +254,7 @@ def encode_documents(docs: DataFrame, rank_file: str, key: str = "doc_id", text:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def work(batches):
-        codec = _codec(content)
+        codec = Codec(content.value)
         for batch in batches:
             for part in slices_of(batch, "text", 2 << 20):
                 texts = [t or "" for t in part.column("text").to_pylist()]
@@ -252,7 +273,7 @@ def decode_documents(encoded: DataFrame, rank_file: str) -> DataFrame:
         content = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def work(batches):
-        codec = _codec(content)
+        codec = Codec(content.value)
         for batch in batches:
             for part in slices_of(batch, "ids", 4 << 20):
                 data, at = utf8_of(part.column("ids"))
@@ -270,9 +291,31 @@ def decode_documents(encoded: DataFrame, rank_file: str) -> DataFrame:
         work, "doc_id long, ids binary, bytes binary, ends binary")
 
 
-def round_trip(docs: DataFrame, rank_file: str) -> DataFrame:
+def round_trip(docs: DataFrame, rank_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256): the ids of each document, and the
-    digests of the ids and of the bytes decoded from them."""
-    return decode_documents(encode_documents(docs, rank_file), rank_file).select(
-        "doc_id", F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"), "ids",
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+    digests of the ids and of the bytes decoded from them, in one pass.
+
+    Defined results are those of ``encode_documents``.
+    """
+    with open(rank_file, "rb") as f:
+        content = docs.sparkSession.sparkContext.broadcast(f.read())
+
+    def digest(data):
+        return hashlib.sha256(data).hexdigest()
+
+    def work(batches):
+        codec = Codec(content.value)
+        for batch in batches:
+            for part in slices_of(batch, "text", 2 << 20):
+                ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
+                flat, ends = codec.decode(np.frombuffer(b"".join(ids), "<u4"))
+                counts = np.array([len(i) // 4 for i in ids], np.int64)
+                edge = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(counts), pa.array(ids, pa.binary()),
+                     pa.array([digest(i) for i in ids], pa.string()),
+                     pa.array([digest(flat[a:b]) for a, b in zip(edge, edge[1:])], pa.string())],
+                    names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(work, "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string")

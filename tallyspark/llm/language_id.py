@@ -161,26 +161,18 @@ class ByteTrees:
         return out
 
 
-_TREES: dict = {}
-
-
 def _trees(stats: dict) -> ByteTrees | None:
-    """The trees of frozen statistics, built once per Python worker."""
-    if not stats["languages"]:
-        return None
-    if stats["name"] not in _TREES:
-        _TREES.clear()
-        _TREES[stats["name"]] = ByteTrees(stats)
-    return _TREES[stats["name"]]
+    """The trees of frozen statistics, built once per task and freed with it."""
+    return ByteTrees(stats) if stats["languages"] else None
 
 
-def _predict(trees: ByteTrees | None, part: pa.RecordBatch) -> list[pa.Array]:
+def _predict(trees: ByteTrees | None, part: pa.RecordBatch, text: str) -> list[pa.Array]:
     """Language, score and bits per byte of the texts of a batch."""
     letters = part.column("_has_letter").to_pylist()
     if not trees:
         return [pa.array(["und"] * len(letters), pa.string()), pa.array([0.0] * len(letters), pa.float64()),
                 pa.nulls(len(letters), pa.float64())]
-    data, at = utf8_of(part.column("_text"))
+    data, at = utf8_of(part.column(text))
     bits = trees.code_lengths(data, at) / np.maximum(np.diff(at), 1)[:, None]
     best, least = bits.argmin(1).tolist(), bits.min(1)
     chance = 1 / np.exp2(-SCORED_BYTES * (bits - least[:, None])).sum(1)
@@ -189,8 +181,8 @@ def _predict(trees: ByteTrees | None, part: pa.RecordBatch) -> list[pa.Array]:
             pa.array([m if known else None for m, known in zip(least.tolist(), letters)], pa.float64())]
 
 
-def _judged(docs: DataFrame, stats: dict, text: str = "text") -> DataFrame:
-    """The columns of ``docs`` under numbers, with ``_lang_pred``, ``_score`` and ``_bits_per_byte``, row by row.
+def _judged(docs: DataFrame, stats: dict, text: str = "text", returned: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (those ``returned``) under numbers, with ``_lang_pred``, ``_score`` and ``_bits_per_byte``, row by row.
 
     The language of a whole text is the one whose frozen trees code it in the fewest bits.
     The score is the probability of that language, all being equally likely before, for a
@@ -203,21 +195,21 @@ def _judged(docs: DataFrame, stats: dict, text: str = "text") -> DataFrame:
     columns are passed on unread.
     """
     shared = docs.sparkSession.sparkContext.broadcast(stats)
-    kept = docs.columns
-    names = [*(f"_{i}" for i in range(len(kept))), "_lang_pred", "_score", "_bits_per_byte"]
+    kept = [f"_{i}" for i, c in enumerate(docs.columns) if returned is None or c in returned]
+    names, body = [*kept, "_lang_pred", "_score", "_bits_per_byte"], f"_{docs.columns.index(text)}"
 
     def work(batches):
         trees = _trees(shared.value)
         for batch in batches:
-            for part in slices_of(batch, "_text", 2 << 20):
+            for part in slices_of(batch, body, 2 << 20):
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(f"_{i}") for i in range(len(kept))), *_predict(trees, part)], names=names)
+                    [*(part.column(c) for c in kept), *_predict(trees, part, body)], names=names)
 
     # Columns travel under numbers, so that none can clash with another.
     rows = docs.select(
-        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(kept)], F.col(text).alias("_text"),
+        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)],
         F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_has_letter"))
-    schema = T.StructType([*rows.schema.fields[:len(kept)], T.StructField("_lang_pred", T.StringType()),
+    schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField("_lang_pred", T.StringType()),
                            T.StructField("_score", T.DoubleType()), T.StructField("_bits_per_byte", T.DoubleType())])
     return rows.mapInArrow(work, schema)
 
@@ -226,7 +218,7 @@ def identify_languages(docs: DataFrame, stats: dict, key: str = "doc_id", text:
     """(doc_id, held_out, lang_pred, score, bits_per_byte) of every document."""
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
                        held_out(F.col(key)).alias("held_out"))
-    return _judged(rows, stats).select(
+    return _judged(rows, stats, returned=["doc_id", "held_out"]).select(
         F.col("_0").alias("doc_id"), F.col("_2").alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"),
         F.col("_bits_per_byte").alias("bits_per_byte"))
 
