@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyspark.llm.alignment import FAR, edit_distances
 from tallyspark.llm.arrow import slices_of, utf8_of
 from tallyspark.llm.shared import kept_rows, materialise, row_hash
-from tallyspark.llm.substring_dedup import mixed, polynomial, window_hashes, word_hashes
+from tallyspark.llm.substring_dedup import forget_powers, mixed, polynomial, window_hashes, word_hashes
 
 GRAM_BASE = 0xD6E8FEB86659FD93
 PLACE_BITS = 24
@@ -154,6 +154,7 @@ def _sketch(gram: int, sketches: int, kept: int, short: int, share: float):
                     pa.array([None if i is None else int(counts[i]) for i in places], pa.int32()),
                     pa.array([None if i is None else values[i] for i in places], pa.list_(pa.int64())),
                 ], names=[p.split()[0] for p in SKETCHED.split(", ")])
+        forget_powers()
 
     return work
 
@@ -168,6 +169,7 @@ def _word_sequences(batches):
                 pa.array([contents[row] for row in rows], pa.binary()),
                 pa.array([words[a:b].tobytes() for a, b in zip(before[:-1], before[1:])], pa.binary()),
             ], names=["content", "words"])
+    forget_powers()
 
 
 def _align(reach: float):
@@ -274,8 +276,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, ske
     share one.  A class is a connected component of links; its id is the smallest document id
     in it, whose row stays.
 
-    Within a bucket every node is aligned with the bucket's first node, not with every other.
-    Distances to the first are exact up to twice the limit, and by the triangle inequality
+    Within a bucket a node is aligned with the bucket's first node, not with every other: with one
+    such leader first, and with those of its other buckets if that left them in two components.
+    Where a bucket holds a node that is no link of its first, all its nodes are aligned with the
+    first.  These distances are exact up to twice the limit, and by the triangle inequality
     almost no other pair can be a link once a node is far from the first; the pairs that still
     can (in different components so far) are aligned as well, so that no link is lost.  In
     buckets of over 128 nodes such pairs must share one of their rarest words, as links do.
@@ -300,22 +304,43 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, ske
     needed = nodes.join(members.select("node").distinct(), "node").select("content", "node")
     words = materialise(texts.join(needed, "content").dropDuplicates(["node"]).select("node", "words"), "words")
 
-    pairs = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    starred = materialise(distances(pairs, words, reach), "distances")
+    pairs = materialise(members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+                        .distinct(), "pairs")
     lengths = nodes.select(F.col("node").alias("_node"), F.col("n_words").alias("_n"))
     limit = F.lit(1 - similarity)
 
     def within(distance, *sizes):
         return distance <= F.floor(limit * F.greatest(*sizes) + F.lit(1e-9))
 
-    sized = starred.join(lengths, F.col("a") == F.col("_node")).withColumnRenamed("_n", "n_a").drop("_node") \
-        .join(lengths, F.col("b") == F.col("_node")).withColumnRenamed("_n", "n_b").drop("_node")
-    linked = materialise(sized.filter(within(F.col("distance"), "n_a", "n_b")).select("a", "b"), "links")
+    def aligned(pairs, purpose):
+        """The pairs with their distances, stored, and whether they are links."""
+        found = distances(pairs, words, reach)
+        sized = found.join(lengths, F.col("a") == F.col("_node")).withColumnRenamed("_n", "n_a").drop("_node") \
+            .join(lengths, F.col("b") == F.col("_node")).withColumnRenamed("_n", "n_b").drop("_node")
+        return materialise(sized.select("a", "b", "distance", within(F.col("distance"), "n_a", "n_b").alias("link")), purpose)
+
+    # One leader for every node first; the other pairs only where that left two components.
+    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = aligned(nearest, "first")
+    roots = components(first.filter("link").select("a", "b"))
+    apart = pairs.join(nearest.withColumnRenamed("b", "_b").withColumnRenamed("a", "_a"),
+                       (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
+    for side in ("a", "b"):
+        apart = apart.join(roots.select(F.col("node").alias(f"_{side}"), F.col("root").alias(f"_root_{side}")),
+                           F.col(side) == F.col(f"_{side}"), "left") \
+            .withColumn(f"_root_{side}", F.coalesce(f"_root_{side}", side)).drop(f"_{side}")
+    second = aligned(apart.filter("_root_a <> _root_b").select("a", "b"), "second")
+    starred = first.union(second)
+    linked = materialise(starred.filter("link").select("a", "b"), "links")
     roots = components(linked)
 
-    far = sized.filter(~within(F.col("distance"), "n_a", "n_b"))
-    again = members.join(far.select(F.col("a").alias("leader"), F.col("b").alias("_far")).distinct(), "leader") \
+    again = members.join(starred.filter("not link").select(F.col("a").alias("leader"), F.col("b").alias("_far")), "leader") \
         .filter(F.col("node") == F.col("_far")).select("bucket").distinct()
+    again = materialise(again, "again")
+    # Buckets with a node far from their leader need the distance of every node to it.
+    open_pairs = members.join(again, "bucket").filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct() \
+        .join(starred.select(F.col("a").alias("_a"), F.col("b").alias("_b")), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
+    starred = starred.union(aligned(open_pairs, "third"))
     known = starred.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "distance")
     found = roots.select(F.col("node").alias("_own"), "root")
     mixed_buckets = members.join(again, "bucket").join(

@@ -43,6 +43,11 @@ def powers(base: int, count: int) -> np.ndarray:
     return _powers.__wrapped__(base, size)[:count]
 
 
+def forget_powers() -> None:
+    """Frees the kept powers: a Python worker may go on with another operator's tasks."""
+    _powers.cache_clear()
+
+
 def polynomial(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hashes of many ranges of ``values`` from one running sum.
 
