@@ -278,8 +278,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, ske
 
     Within a bucket a node is aligned with the bucket's first node, not with every other: with one
     such leader first, and with those of its other buckets if that left them in two components.
-    Where a bucket holds a node that is no link of its first, all its nodes are aligned with the
-    first.  These distances are exact up to twice the limit, and by the triangle inequality
+    Where a bucket of several components holds a node that is no link of its first, all its nodes
+    are aligned with the first.  These distances are exact up to twice the limit, and by the triangle inequality
     almost no other pair can be a link once a node is far from the first; the pairs that still
     can (in different components so far) are aligned as well, so that no link is lost.  In
     buckets of over 128 nodes such pairs must share one of their rarest words, as links do.
@@ -336,13 +336,16 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, ske
 
     again = members.join(starred.filter("not link").select(F.col("a").alias("leader"), F.col("b").alias("_far")), "leader") \
         .filter(F.col("node") == F.col("_far")).select("bucket").distinct()
-    again = materialise(again, "again")
-    # Buckets with a node far from their leader need the distance of every node to it.
+    found = roots.select(F.col("node").alias("_own"), "root")
+    again = members.join(again, "bucket").join(found, F.col("node") == F.col("_own"), "left") \
+        .groupBy("bucket").agg(F.min(F.coalesce("root", "node")).alias("_low"), F.max(F.coalesce("root", "node")).alias("_high"))
+    again = materialise(again.filter("_low <> _high").select("bucket"), "again")
+    # Buckets with a node far from their leader, not all in one component by now, need the
+    # distance of every node to it.
     open_pairs = members.join(again, "bucket").filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct() \
         .join(starred.select(F.col("a").alias("_a"), F.col("b").alias("_b")), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
     starred = starred.union(aligned(open_pairs, "third"))
     known = starred.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "distance")
-    found = roots.select(F.col("node").alias("_own"), "root")
     mixed_buckets = members.join(again, "bucket").join(
         known, (F.col("leader") == F.col("_a")) & (F.col("node") == F.col("_b")), "left").join(
         found, F.col("node") == F.col("_own"), "left").select(
