@@ -342,3 +342,17 @@ def test_shards_of_awkward_rows(spark):
     assert max(counts) - min(counts) <= 1 and all(r.law == "rows" and r.grown_shard is None for r in rows)
     again = sharding.interleaved_shards(awkward(spark).repartition(5), shards=4).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
+
+
+def test_long_texts_are_encoded_part_by_part(monkeypatch):
+    """Cut between a letter or digit and a blank, the parts encode to what the whole does."""
+    monkeypatch.setattr(bpe, "PART_LENGTH", 40)
+    with open(RANKS, "rb") as f:
+        codec = bpe.Codec(f.read())
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    random.seed(8)
+    for _ in range(200):
+        text = "".join(random.choice("ab1 '  \n\té,.s中  ") for _ in range(300))
+        assert "".join(bpe.parts_of(text)) == text
+        assert np.frombuffer(codec.encode([text, "x"])[0], "<u4").tolist() == library.encode_ordinary(text)
+    assert len(bpe.parts_of("word " * 100)) > 5 and bpe.parts_of("x" * 100) == ["x" * 100]
