@@ -39,7 +39,7 @@ NEW_NUMBERS = [
     (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
 ]
 
-CACHED_BYTES = 64 << 20
+CACHED_BYTES = 160 << 20
 ENTRY_BYTES = 220
 CACHED_LENGTH = 48
 PART_LENGTH = 1 << 20
@@ -243,7 +243,7 @@ def encode_documents(docs: DataFrame, rank_file: str, key: str = "doc_id", text:
     """(doc_id, ids) of every document: ids as little-endian unsigned 32-bit integers.
 
     Piece boundaries come from character classes and a scan over transition functions, not
-    from a regular expression; each piece is merged once and cached (short pieces only, 64 MB,
+    from a regular expression; each piece is merged once and cached (short pieces only, 160 MB,
     for the length of a task).  The rank file is read by the driver and broadcast: it is a vocabulary of fixed
     size.  Tasks hold a few MB of text at a time, or one text if that is longer.
 
