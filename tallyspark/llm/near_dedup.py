@@ -17,11 +17,13 @@ GRAM_BASE = 0xD6E8FEB86659FD93
 PLACE_BITS = 24
 CROWD = 128
 ITEM_BINS = 1 << 16
+OUTLINE_LONGS = 32
 
 SKETCHED = "doc_id long, row_hash long, content binary, n_words int, sketch array<long>"
 WORDS = "content binary, words binary"
 DISTANCES = "a long, b long, distance long"
 RARE = "_node long, items array<long>"
+OUTLINES = "_drawn long, outline array<long>"
 
 
 def _first_of_each(batch: pa.RecordBatch):
@@ -237,6 +239,31 @@ def rarest_words(words: DataFrame, share: float) -> DataFrame:
     return words.select("node", "words").mapInArrow(work, RARE)
 
 
+def _outlines(batches):
+    """A bit for each bin of words (repetitions told apart): whether it holds an odd number."""
+    bits = 64 * OUTLINE_LONGS
+    for batch in batches:
+        for part in slices_of(batch, "words", 2 << 20):
+            data, at = utf8_of(part.column("words"))
+            items, before = _grams(np.frombuffer(data, "<u4").astype(np.uint64) << np.uint64(32), at // 4, 1)
+            spot = np.repeat(np.arange(part.num_rows) * bits, np.diff(before)) + (items % np.uint64(bits)).astype(np.int64)
+            odd = np.zeros(part.num_rows * OUTLINE_LONGS, np.uint64)
+            np.bitwise_xor.at(odd, spot >> 6, np.uint64(1) << (spot & 63).astype(np.uint64))
+            ends = pa.array(np.arange(part.num_rows + 1) * OUTLINE_LONGS, pa.int32())
+            outlines = pa.ListArray.from_arrays(ends, pa.array(odd.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column("node"), outlines], names=["_drawn", "outline"])
+
+
+def outlines(words: DataFrame) -> DataFrame:
+    """(_drawn, outline): 2,048 bits of each node's words, to tell pairs that cannot be links.
+
+    A bit differs only where the words of two texts differ.  An edit takes one word out, puts one
+    in or does both, so twice the edit distance is at least the words that only one of the texts
+    has plus the difference in length, and those words are at least the bits that differ.
+    """
+    return words.select("node", "words").mapInArrow(_outlines, OUTLINES)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that a node is linked with over any number of edges.
 
@@ -281,8 +308,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, ske
     Where a bucket of several components holds a node that is no link of its first, all its nodes
     are aligned with the first.  These distances are exact up to twice the limit, and by the triangle inequality
     almost no other pair can be a link once a node is far from the first; the pairs that still
-    can (in different components so far) are aligned as well, so that no link is lost.  In
-    buckets of over 128 nodes such pairs must share one of their rarest words, as links do.
+    can (in different components so far) are aligned as well, so that no link is lost, save those
+    whose ``outlines`` show that they have too few words in common.  In buckets of over 128 nodes
+    such pairs must also share one of their rarest words, as links do.
 
     Defined results: NULL and empty texts have no words and form one class; texts under
     ``gram`` words are one k-mer; a NULL id is never the class id unless the class has no other;
@@ -355,25 +383,37 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, ske
         F.when(F.col("node") == F.col("leader"), 0).otherwise(F.col("distance")).alias("most"))
     mixed_buckets = materialise(mixed_buckets, "mixed")
     others = mixed_buckets.filter("least > 0")
-    crowded = materialise(others.groupBy("bucket").agg(F.count("*").alias("_size")).filter(F.col("_size") > CROWD)
-                          .select(F.col("bucket").alias("_crowded")), "crowded")
-    in_crowd = others.join(crowded, F.col("bucket") == F.col("_crowded")).drop("_crowded")
+    lively = materialise(others.groupBy("bucket").agg(
+        F.count("*").alias("_size"), F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low <> _high")
+        .select(F.col("bucket").alias("_lively"), (F.col("_size") > CROWD).alias("_crowded")), "lively")
+    others = materialise(others.join(lively, F.col("bucket") == F.col("_lively")).drop("_lively"), "others")
+    drawn = materialise(outlines(words).join(others.select("node").distinct(), F.col("_drawn") == F.col("node"))
+                        .drop("node"), "outlines")
+    # A row for each rare word is kept shorter: 1,024 bits, as if there were half the bins.
+    half = OUTLINE_LONGS // 2
+    halved = F.array(*[F.get("outline", F.lit(i)).bitwiseXOR(F.get("outline", F.lit(i + half))) for i in range(half)])
+    in_crowd = others.filter("_crowded").drop("_crowded")
     meets = in_crowd.groupBy("node", "n", "root").agg(F.collect_set("bucket").alias("buckets"))
     rare = rarest_words(materialise(words.join(in_crowd.select("node").distinct(), "node"), "crowd"), 1 - similarity)
     meets = materialise(meets.join(rare, F.col("node") == F.col("_node")).drop("_node"), "rare") \
+        .join(drawn.select("_drawn", halved.alias("outline")), F.col("node") == F.col("_drawn")).drop("_drawn") \
         .withColumn("item", F.explode("items")).drop("items")
-    calm = others.join(crowded, F.col("bucket") == F.col("_crowded"), "left_anti")
+    calm = others.filter("not _crowded").drop("_crowded").join(drawn, F.col("node") == F.col("_drawn")).drop("_drawn")
     room = F.floor(limit * F.greatest("n", "_n") + F.lit(1e-9))
     fits = (F.col("node") < F.col("_node")) & (F.col("root") != F.col("_root")) & (F.abs(F.col("n") - F.col("_n")) <= room)
 
+    def alike(longs):
+        bits = [F.bit_count(F.get("outline", F.lit(i)).bitwiseXOR(F.get("_outline", F.lit(i)))) for i in range(longs)]
+        return sum(bits[1:], bits[0]) + F.abs(F.col("n") - F.col("_n")) <= 2 * room
+
     def met(rows, condition):
         """Pairs of nodes in different components that can be links."""
         other = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns])
         return rows.join(other, condition & fits).select(F.col("node").alias("a"), F.col("_node").alias("b"))
 
     rest = met(calm, (F.col("bucket") == F.col("_bucket")) & (F.col("least") - F.col("_most") <= room)
-               & (F.col("_least") - F.col("most") <= room)) \
-        .union(met(meets, (F.col("item") == F.col("_item")) & F.arrays_overlap("buckets", "_buckets"))).distinct()
+               & (F.col("_least") - F.col("most") <= room) & alike(OUTLINE_LONGS)) \
+        .union(met(meets, (F.col("item") == F.col("_item")) & alike(half) & F.arrays_overlap("buckets", "_buckets"))).distinct()
     later = materialise(distances(rest, words, 1 - similarity).filter(F.col("distance") < FAR).select("a", "b"), "later")
     if later.limit(1).count():
         roots = components(linked.union(later))

@@ -136,6 +136,48 @@ def test_crowded_buckets_keep_their_links(spark, monkeypatch):
     assert got == {n: n // 2 * 2 for n in range(120)}
 
 
+@pytest.mark.parametrize("crowd", [8, 128])
+def test_texts_around_one_passage_are_not_all_aligned(spark, monkeypatch, crowd):
+    """Texts that share half their words, and the buckets of those, are linked in pairs only; no
+    other two are close enough for a link, and their alignments would grow with the square."""
+    asked, plain = [], near_dedup.distances
+
+    def counting(pairs, words, reach):
+        asked.append(pairs.count())
+        return plain(pairs, words, reach)
+
+    monkeypatch.setattr(near_dedup, "distances", counting)
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
+    random.seed(7)
+    passage, rows = [f"s{i}" for i in range(60)], []
+    for number in range(60):
+        words = [f"w{i}" for i in random.sample(range(400), 60)]
+        rows += [(2 * number, " ".join(passage + words), "en", "s", 1),
+                 (2 * number + 1, " ".join(passage + ["z"] + words[1:]), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {n: n // 2 * 2 for n in range(120)}
+    assert asked[-1] <= len(rows)
+
+
+def test_outlines_bound_the_distance(spark):
+    random.seed(11)
+    texts = [[random.randrange(40) for _ in range(random.randrange(1, 90))] for _ in range(80)]
+    for text in texts[:40]:
+        copy = list(text)
+        for _ in range(random.randrange(1, 6)):
+            copy[random.randrange(len(copy)):][:1] = [random.randrange(40)] * random.randrange(2)
+        texts.append(copy)
+    sides = [np.array(t, "<u4") for t in texts]
+    rows = spark.createDataFrame([(i, t.tobytes()) for i, t in enumerate(sides)], "node long, words binary")
+    bits = {r[0]: r.outline for r in near_dedup.outlines(rows).collect()}
+    pairs = [(a, b) for a in range(len(sides)) for b in range(a)]
+    far = edit_distances([(sides[a], sides[b]) for a, b in pairs], [200] * len(pairs))
+    for (a, b), distance in zip(pairs, far.tolist()):
+        differ = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(bits[a], bits[b]))
+        assert differ + abs(len(sides[a]) - len(sides[b])) <= 2 * distance
+
+
 def test_edit_distances_are_exact_up_to_the_cap():
     random.seed(3)
 
