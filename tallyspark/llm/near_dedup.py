@@ -17,7 +17,7 @@ GRAM_BASE = 0xD6E8FEB86659FD93
 PLACE_BITS = 24
 CROWD = 128
 ITEM_BINS = 1 << 16
-OUTLINE_LONGS = 32
+OUTLINE_LONGS = 16
 
 SKETCHED = "doc_id long, row_hash long, content binary, n_words int, sketch array<long>"
 WORDS = "content binary, words binary"
@@ -255,7 +255,7 @@ def _outlines(batches):
 
 
 def outlines(words: DataFrame) -> DataFrame:
-    """(_drawn, outline): 2,048 bits of each node's words, to tell pairs that cannot be links.
+    """(_drawn, outline): 1,024 bits of each node's words, to tell pairs that cannot be links.
 
     A bit differs only where the words of two texts differ.  An edit takes one word out, puts one
     in or does both, so twice the edit distance is at least the words that only one of the texts
@@ -389,22 +389,17 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, ske
     others = materialise(others.join(lively, F.col("bucket") == F.col("_lively")).drop("_lively"), "others")
     drawn = materialise(outlines(words).join(others.select("node").distinct(), F.col("_drawn") == F.col("node"))
                         .drop("node"), "outlines")
-    # A row for each rare word is kept shorter: 1,024 bits, as if there were half the bins.
-    half = OUTLINE_LONGS // 2
-    halved = F.array(*[F.get("outline", F.lit(i)).bitwiseXOR(F.get("outline", F.lit(i + half))) for i in range(half)])
     in_crowd = others.filter("_crowded").drop("_crowded")
     meets = in_crowd.groupBy("node", "n", "root").agg(F.collect_set("bucket").alias("buckets"))
     rare = rarest_words(materialise(words.join(in_crowd.select("node").distinct(), "node"), "crowd"), 1 - similarity)
     meets = materialise(meets.join(rare, F.col("node") == F.col("_node")).drop("_node"), "rare") \
-        .join(drawn.select("_drawn", halved.alias("outline")), F.col("node") == F.col("_drawn")).drop("_drawn") \
         .withColumn("item", F.explode("items")).drop("items")
     calm = others.filter("not _crowded").drop("_crowded").join(drawn, F.col("node") == F.col("_drawn")).drop("_drawn")
     room = F.floor(limit * F.greatest("n", "_n") + F.lit(1e-9))
     fits = (F.col("node") < F.col("_node")) & (F.col("root") != F.col("_root")) & (F.abs(F.col("n") - F.col("_n")) <= room)
 
-    def alike(longs):
-        bits = [F.bit_count(F.get("outline", F.lit(i)).bitwiseXOR(F.get("_outline", F.lit(i)))) for i in range(longs)]
-        return sum(bits[1:], bits[0]) + F.abs(F.col("n") - F.col("_n")) <= 2 * room
+    bits = [F.bit_count(F.get("outline", F.lit(i)).bitwiseXOR(F.get("_outline", F.lit(i)))) for i in range(OUTLINE_LONGS)]
+    alike = sum(bits[1:], bits[0]) + F.abs(F.col("n") - F.col("_n")) <= 2 * room
 
     def met(rows, condition):
         """Pairs of nodes in different components that can be links."""
@@ -412,8 +407,13 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, gram: int = 3, ske
         return rows.join(other, condition & fits).select(F.col("node").alias("a"), F.col("_node").alias("b"))
 
     rest = met(calm, (F.col("bucket") == F.col("_bucket")) & (F.col("least") - F.col("_most") <= room)
-               & (F.col("_least") - F.col("most") <= room) & alike(OUTLINE_LONGS)) \
-        .union(met(meets, (F.col("item") == F.col("_item")) & alike(half) & F.arrays_overlap("buckets", "_buckets"))).distinct()
+               & (F.col("_least") - F.col("most") <= room) & alike)
+    # Rows for each rare word would be long with an outline, so here it is looked up for the pairs found.
+    crowd = met(meets, (F.col("item") == F.col("_item")) & F.arrays_overlap("buckets", "_buckets")).distinct()
+    sized = drawn.join(lengths, F.col("_drawn") == F.col("_node")).select("_drawn", "outline", F.col("_n").alias("n"))
+    other = sized.select(F.col("_drawn").alias("_other"), F.col("outline").alias("_outline"), F.col("n").alias("_n"))
+    crowd = crowd.join(sized, F.col("a") == F.col("_drawn")).join(other, (F.col("b") == F.col("_other")) & alike)
+    rest = rest.union(crowd.select("a", "b")).distinct()
     later = materialise(distances(rest, words, 1 - similarity).filter(F.col("distance") < FAR).select("a", "b"), "later")
     if later.limit(1).count():
         roots = components(linked.union(later))
